@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import trackspark
 from trackspark.functions.timing import micros
 from trackspark.operators.buckets import bucketize, distribution
 from trackspark.operators.intervals import attach_labels, map_modes
@@ -20,17 +22,21 @@ from trackspark.operators.steps import calculate_distance, classify_stops, step_
 from trackspark.plans import analyses, runs
 from trackspark.plans.derived import raw_labels_from_events, steps_from_events, track_texts, write_raw_files
 from trackspark.schemas import TRAJECTORY, UNKNOWN_LABEL
-from trackspark.session import fresh_path
+from trackspark.session import fresh_path, size_file_listing
 from trackspark.sources.labels import read_labels
 from trackspark.sources.tables import geo_table_sql
 from trackspark.sources.tracks import parse_track_text, read_tracks
 from trackspark.streaming import ingest_incremental
 
+# Python workers get the few functions they run with the task, so the package need not be
+# installed where they start.
+cloudpickle.register_pickle_by_value(trackspark)
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Splits every trajectory of more than three steps, to run the path for hot trajectories on
 # whole tables that have none.
-SPLIT_ALL = HotLimits(rows=3, groups=1_000_000_000, small_bytes=0)
+SPLIT_ALL = HotLimits(rows=3, groups=1_000_000_000, slices=64, small_bytes=0)
 
 ORDER_BINS = [float("-inf"), 1000.0, 50_000.0, 150_000.0, float("inf")]
 ORDER_NAMES = ["<1000", "1000-50000", "50000-150000", ">=150000"]
@@ -110,6 +116,7 @@ def _mode_labels(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _raw_files(spark: SparkSession, d: str) -> str:
+    size_file_listing(spark)
     events = _table(spark, d, "events")
     root = fresh_path(spark, "raw")
     write_raw_files(steps_from_events(events), raw_labels_from_events(events), root)

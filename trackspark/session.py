@@ -21,7 +21,15 @@ def build_session(app_name: str = "trackspark", master: str | None = None, **con
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key, str(value))
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    size_file_listing(spark)
+    return spark
+
+
+def size_file_listing(spark: SparkSession) -> None:
+    """Let a listing of many paths run as a few tasks per core; Spark's default is one per path."""
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism",
+                   4 * spark.sparkContext.defaultParallelism)
 
 
 def shared_dir(spark: SparkSession) -> str:
