@@ -1,0 +1,179 @@
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import GOLDEN, at
+from trackspark.operators import HotLimits, calculate_distance, classify_stops, step_measures
+from trackspark.operators.previous import estimated_bytes
+from trackspark.plans import analyses
+
+SPLIT = HotLimits(rows=20, groups=1_000_000, slices=16, small_bytes=0, copies_per_row=3)
+STEP_DDL = "UserId string, TrajectoryID string, Latitude double, Longitude double, StepTimestamp timestamp"
+
+
+def near(x):
+    return pytest.approx(x, abs=1e-9)
+
+
+def test_golden_distances(steps):
+    got = calculate_distance(steps, ["UserId", "TrajectoryId"], "StepTimestamp")
+    assert got.columns == [*steps.columns, "PrevLongitude", "PrevLatitude", "Distance"]
+    for name, rows in GOLDEN.items():
+        mine = got.where(F.col("TrajectoryID") == name).orderBy("StepTimestamp").collect()
+        assert [r.Distance for r in mine] == [row[5] for row in rows]
+        assert [r.PrevLatitude for r in mine] == [None] + [row[0] for row in rows[:-1]]
+        assert [r.PrevLongitude for r in mine] == [None] + [row[1] for row in rows[:-1]]
+
+
+def test_golden_speeds(steps):
+    per_km = [0.0, 2.5153907804528552, 13.448117648932143, 0.10472327547770409,
+              0.0, 0.0031437811147823386, 520.4663203107932, 0.0039275312064218915]
+    per_hour = [0.0, 0.3975525424403306, 0.07435984917037111, 9.548975578145502,
+                0.0, 318.08830306216646, 0.0019213539108598925, 254.6128719142712]
+    measured = step_measures(steps)
+    for mode, expected in (("hours_per_km", per_km), ("km_per_hour", per_hour)):
+        got = classify_stops(measured, mode).orderBy("TrajectoryID", "StepTimestamp").collect()
+        assert [r.Speed for r in got] == near(expected)
+        assert [r.SpeedCat for r in got] == ["stop" if s < 0.05 else "not-stop" for s in expected]
+
+
+def test_undefined_speed_is_a_stop(spark):
+    t = at("2020-01-01 00:00:00")
+    rows = [("u", "still", 1.0, 1.0, t), ("u", "still", 1.0, 1.0, t + timedelta(hours=1)),
+            ("u", "jump", 1.0, 1.0, t), ("u", "jump", 2.0, 1.0, t)]
+    measured = step_measures(spark.createDataFrame(rows, STEP_DDL))
+    for mode in ("hours_per_km", "km_per_hour"):
+        assert {r.SpeedCat for r in classify_stops(measured, mode).collect()} == {"stop"}
+    with pytest.raises(ValueError):
+        classify_stops(measured, "furlongs")
+
+
+def test_null_position_of_the_previous_step(spark):
+    t = at("2020-01-01 00:00:00")
+    rows = [("u", "a", None, 1.0, t), ("u", "a", 2.0, 1.0, t + timedelta(hours=1))]
+    df = spark.createDataFrame(rows, STEP_DDL)
+    for limits in (None, HotLimits(rows=1, groups=10, slices=4, small_bytes=0)):
+        r = step_measures(df, limits=limits).orderBy("StepTimestamp").collect()[1]
+        assert (r.PrevLatitude, r.PrevLongitude, r.Distance, r.StepTimestampDiff) == (None, 1.0, 0.0, 1.0)
+
+
+def test_golden_trajectories(steps):
+    a, b = sorted(GOLDEN)
+    expected = {
+        "TotalDistance": ({a: 0.3317809090247497, b: 0.8165457196659689}, analyses.trajectory_length(steps)),
+        "TimeDiffHours": ({a: 4.0, b: 10.998888888888887}, analyses.trajectory_gross_hours(steps)),
+        "StepTimestampDiff": ({a: 4.0, b: 10.99611111111111}, analyses.trajectory_net_hours(steps)),
+    }
+    for column, (values, df) in expected.items():
+        assert {r.TrajectoryID: r[column] for r in df.collect()} == near(values)
+    kmh = analyses.trajectory_net_hours(steps, "km_per_hour")
+    assert {r.TrajectoryID: r.StepTimestampDiff for r in kmh.collect()} == near({a: 4.0, b: 0.002777777777777778})
+
+
+def test_golden_reports(steps):
+    def rows(df):
+        return {tuple(r) for r in df.collect()}
+
+    assert rows(analyses.length_distribution(steps)) == {("<5", 2, 100.0)}
+    assert rows(analyses.gross_time_distribution(steps)) == {("1-6", 1, 50.0), ("6-12", 1, 50.0)}
+    assert rows(analyses.net_time_distribution(steps)) == {("1-6", 1, 50.0), ("6-12", 1, 50.0)}
+    assert rows(analyses.net_time_distribution(steps, "km_per_hour")) == {("<1", 1, 50.0), ("1-6", 1, 50.0)}
+    assert rows(analyses.stop_share(steps)) == {("stop", 4, 50.0), ("not-stop", 4, 50.0)}
+
+
+def test_single_step_has_no_net_time(spark):
+    df = spark.createDataFrame([("u", "a", 1.0, 1.0, at("2020-01-01 00:00:00"))], STEP_DDL)
+    assert [tuple(r) for r in analyses.length_distribution(df).collect()] == [("<5", 1, 100.0)]
+    assert [tuple(r) for r in analyses.gross_time_distribution(df).collect()] == [("<1", 1, 100.0)]
+    assert analyses.net_time_distribution(df).count() == 0
+    assert analyses.trajectory_summary(df).first().StepTimestampDiff is None
+
+
+def random_steps(seed: int) -> list[tuple]:
+    """A trajectory with most of the rows, a user with several, runs of copies, ties, NULL and outlier times."""
+    rng = random.Random(seed)
+    start = datetime(2020, 1, 1)
+    rows = []
+
+    def add(user, trajectory, n, spread):
+        for _ in range(n):
+            ts = start + timedelta(seconds=rng.randrange(spread), microseconds=rng.choice([0, 0, 250_000]))
+            rows.append((user, trajectory, rng.choice([None, 39 + rng.random()]), 116 + rng.randrange(5) / 10, ts))
+
+    add("hot", "h", 400, 300)
+    add("u", "a", 30, 10_000)
+    for i in range(8):
+        add("u", f"c{i}", rng.randrange(1, 6), 1000)
+    rows += [("hot", "h", 39.5, 116.5, start + timedelta(seconds=77))] * 120
+    rows += [("hot", "h", 39.5, 116.5, None)] * 2 + [("hot", "h", float("nan"), 116.0, datetime(1970, 1, 1))]
+    rows += [("copies", "k", 1.0, 2.0, start)] * 50
+    rng.shuffle(rows)
+    return rows
+
+
+def sort_key(row):
+    lat, lon, ts = row[2], row[3], row[4]
+    rank = (0, 0.0) if lat is None else (2, 0.0) if lat != lat else (1, lat)
+    return (ts is not None, ts or datetime.min, rank, lon)
+
+
+def brute_force(rows):
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[:2], []).append(row)
+    for group in groups.values():
+        group.sort(key=sort_key)
+        for before, row in zip([None, *group], group):
+            prev = (None, None, None) if before is None else before[2:5]
+            dt = None if prev[2] is None or row[4] is None else (row[4] - prev[2]).total_seconds() / 3600
+            yield repr((*row, prev[0], prev[1], None if dt is None else round(dt, 9)))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("limits", [None, SPLIT])
+def test_previous_step_against_brute_force(spark, seed, limits):
+    rows = random_steps(seed)
+    measured = step_measures(spark.createDataFrame(rows, STEP_DDL), limits=limits)
+    got = [repr((*r[:5], r.PrevLatitude, r.PrevLongitude,
+                 None if r.StepTimestampDiff is None else round(r.StepTimestampDiff, 9))) for r in measured.collect()]
+    assert sorted(got) == sorted(brute_force(rows))
+
+
+def test_split_trajectories_give_the_same_reports(spark):
+    df = spark.createDataFrame(random_steps(3), STEP_DDL)
+    for mode in ("hours_per_km", "km_per_hour"):
+        plain, split = (
+            {r[:2]: r[2:] for r in analyses.trajectory_summary(df, mode, limits).collect()} for limits in (None, SPLIT))
+        assert plain.keys() == split.keys()
+        for key in plain:
+            assert split[key] == near(plain[key])
+        shares = [{tuple(r) for r in analyses.stop_share(df, mode, limits).collect()} for limits in (None, SPLIT)]
+        assert shares[0] == shares[1]
+
+
+def test_hot_trajectory_is_cut_into_even_slices(spark):
+    from trackspark.functions.timing import micros
+    from trackspark.operators import previous as p
+
+    df = (spark.range(10_000).select(
+        F.lit("u").alias("UserId"), F.lit("t").alias("TrajectoryID"),
+        F.timestamp_micros(F.pow(F.col("id"), 2).cast("bigint") * 1000).alias("StepTimestamp")))
+    limits = HotLimits(rows=1000, groups=1_000_000, slices=64, small_bytes=0)
+    keys = ("UserId", "TrajectoryID")
+    timed = df.withColumn("_time", micros(F.col("StepTimestamp")))
+    hot = p._hot_groups(timed, keys, limits)
+    assert [tuple(r) for r in hot.collect()] == [("u", "t", 10)]
+    cuts = p._cut_points(timed, hot, keys, limits)
+    sizes = (p._match(timed, cuts, keys, "inner").groupBy(p._slice_of(F.col("_time"), F.col("_cuts"), 64).alias("s"))
+             .count().collect())
+    assert sorted(r.s for r in sizes) == list(range(10))
+    # at most 7 of 64 quantile steps, each end off by one in 640 of the ranks
+    assert max(r["count"] for r in sizes) <= 10_000 * (7 / 64 + 2 / 640)
+
+
+def test_size_estimate(spark):
+    assert estimated_bytes(spark.range(1000)) == 8000

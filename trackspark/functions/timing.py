@@ -11,7 +11,7 @@ def micros(ts: Column) -> Column:
 
 def whole_seconds(ts: Column) -> Column:
     """Epoch seconds, the fraction of a second floored away."""
-    return F.unix_timestamp(ts.cast("timestamp"))
+    return F.unix_seconds(ts.cast("timestamp"))
 
 
 def hours(seconds: Column) -> Column:

@@ -38,19 +38,19 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local master, where driver and executors are one process, may fall back to a
     temporary folder.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="trackspark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="trackspark-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    folder = shared_dir(spark)
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+        spark.sparkContext.setCheckpointDir(folder)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
