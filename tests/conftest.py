@@ -49,8 +49,18 @@ def golden_rows() -> list[tuple]:
 
 
 @pytest.fixture(scope="session")
-def steps(spark):
-    return spark.createDataFrame(golden_rows(), STEP_SCHEMA)
+def stored(spark, tmp_path_factory):
+    """Write rows to Parquet and read them back, so that Spark knows the size of the input."""
+    def store(rows, schema):
+        path = str(tmp_path_factory.mktemp("rows") / "rows.parquet")
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(path)
+        return spark.read.parquet(path)
+    return store
+
+
+@pytest.fixture(scope="session")
+def steps(stored):
+    return stored(golden_rows(), STEP_SCHEMA)
 
 
 @pytest.fixture(scope="session")

@@ -41,21 +41,21 @@ def test_golden_speeds(steps):
         assert [r.SpeedCat for r in got] == ["stop" if s < 0.05 else "not-stop" for s in expected]
 
 
-def test_undefined_speed_is_a_stop(spark):
+def test_undefined_speed_is_a_stop(stored):
     t = at("2020-01-01 00:00:00")
     rows = [("u", "still", 1.0, 1.0, t), ("u", "still", 1.0, 1.0, t + timedelta(hours=1)),
             ("u", "jump", 1.0, 1.0, t), ("u", "jump", 2.0, 1.0, t)]
-    measured = step_measures(spark.createDataFrame(rows, STEP_DDL))
+    measured = step_measures(stored(rows, STEP_DDL))
     for mode in ("hours_per_km", "km_per_hour"):
         assert {r.SpeedCat for r in classify_stops(measured, mode).collect()} == {"stop"}
     with pytest.raises(ValueError):
         classify_stops(measured, "furlongs")
 
 
-def test_null_position_of_the_previous_step(spark):
+def test_null_position_of_the_previous_step(stored):
     t = at("2020-01-01 00:00:00")
     rows = [("u", "a", None, 1.0, t), ("u", "a", 2.0, 1.0, t + timedelta(hours=1))]
-    df = spark.createDataFrame(rows, STEP_DDL)
+    df = stored(rows, STEP_DDL)
     for limits in (None, HotLimits(rows=1, groups=10, slices=4, small_bytes=0)):
         r = step_measures(df, limits=limits).orderBy("StepTimestamp").collect()[1]
         assert (r.PrevLatitude, r.PrevLongitude, r.Distance, r.StepTimestampDiff) == (None, 1.0, 0.0, 1.0)
@@ -85,8 +85,8 @@ def test_golden_reports(steps):
     assert rows(analyses.stop_share(steps)) == {("stop", 4, 50.0), ("not-stop", 4, 50.0)}
 
 
-def test_single_step_has_no_net_time(spark):
-    df = spark.createDataFrame([("u", "a", 1.0, 1.0, at("2020-01-01 00:00:00"))], STEP_DDL)
+def test_single_step_has_no_net_time(stored):
+    df = stored([("u", "a", 1.0, 1.0, at("2020-01-01 00:00:00"))], STEP_DDL)
     assert [tuple(r) for r in analyses.length_distribution(df).collect()] == [("<5", 1, 100.0)]
     assert [tuple(r) for r in analyses.gross_time_distribution(df).collect()] == [("<1", 1, 100.0)]
     assert analyses.net_time_distribution(df).count() == 0
@@ -135,16 +135,16 @@ def brute_force(rows):
 
 @pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize("limits", [None, SPLIT])
-def test_previous_step_against_brute_force(spark, seed, limits):
+def test_previous_step_against_brute_force(stored, seed, limits):
     rows = random_steps(seed)
-    measured = step_measures(spark.createDataFrame(rows, STEP_DDL), limits=limits)
+    measured = step_measures(stored(rows, STEP_DDL), limits=limits)
     got = [repr((*r[:5], r.PrevLatitude, r.PrevLongitude,
                  None if r.StepTimestampDiff is None else round(r.StepTimestampDiff, 9))) for r in measured.collect()]
     assert sorted(got) == sorted(brute_force(rows))
 
 
-def test_split_trajectories_give_the_same_reports(spark):
-    df = spark.createDataFrame(random_steps(3), STEP_DDL)
+def test_split_trajectories_give_the_same_reports(stored):
+    df = stored(random_steps(3), STEP_DDL)
     for mode in ("hours_per_km", "km_per_hour"):
         plain, split = (
             {r[:2]: r[2:] for r in analyses.trajectory_summary(df, mode, limits).collect()} for limits in (None, SPLIT))

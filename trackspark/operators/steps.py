@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackspark.functions.geo import haversine_km
@@ -43,8 +43,13 @@ def measured_branches(df: DataFrame, keys: Sequence[str] = TRAJECTORY, order_by:
 def _add_distance(df: DataFrame) -> DataFrame:
     lat, lon = F.col(PREVIOUS)["Latitude"], F.col(PREVIOUS)["Longitude"]
     km = haversine_km(lat, lon, F.col("Latitude"), F.col("Longitude"))
-    # rounding near antipodes makes the distance NaN; like a missing one it counts as 0
-    return df.withColumns({"PrevLongitude": lon, "PrevLatitude": lat, "Distance": km}).fillna({"Distance": 0.0})
+    return df.withColumns({"PrevLongitude": lon, "PrevLatitude": lat, "Distance": _zero_if_undefined(km)})
+
+
+def _zero_if_undefined(x: Column) -> Column:
+    # NULL, and NaN too: rounding near antipodes makes a distance NaN
+    zero = F.lit(0.0)
+    return F.coalesce(F.nanvl(x, zero), zero)
 
 
 def add_measures(df: DataFrame, order_by: str) -> DataFrame:
@@ -62,5 +67,6 @@ def classify_stops(df: DataFrame, speed_mode: str = "hours_per_km") -> DataFrame
         raise ValueError(f"speed_mode must be one of {SPEED_MODES}")
     elapsed, distance = F.col("StepTimestampDiff"), F.col("Distance")
     ratio = F.try_divide(elapsed, distance) if speed_mode == "hours_per_km" else F.try_divide(distance, elapsed)
-    rated = df.withColumn("Speed", ratio).fillna({"Speed": 0.0})
-    return bucketize(rated, STOP_BINS, STOP_NAMES, "Speed", "SpeedCat").fillna({"StepTimestampDiff": 0.0})
+    rated = df.withColumns({"Speed": _zero_if_undefined(ratio),
+                            "StepTimestampDiff": F.coalesce("StepTimestampDiff", F.lit(0.0))})
+    return bucketize(rated, STOP_BINS, STOP_NAMES, "Speed", "SpeedCat")

@@ -22,15 +22,14 @@ LABEL_HEADER = "Start Time\tEnd Time\tTransportation Mode"
 
 def steps_from_events(events: DataFrame) -> DataFrame:
     """A step per event; the events of a user on one day are a trajectory."""
-    ts = F.col("ts").cast("timestamp")
-    return events.select(
-        F.col("user_id").cast("string").alias("UserId"),
-        F.date_format(ts, "yyyyMMdd").alias("TrajectoryID"),
-        (39 + F.col("value") / 1000).alias("Latitude"),
-        (116 + (F.col("event_id") % 100) / 100).alias("Longitude"),
-        F.col("value").alias("Altitude"),
-        ts.alias("StepTimestamp"),
-        F.col("event_id"),
+    return events.selectExpr(
+        "cast(user_id as string) as UserId",
+        "date_format(ts, 'yyyyMMdd') as TrajectoryID",
+        "39 + value / 1000 as Latitude",
+        "116 + (event_id % 100) / 100 as Longitude",
+        "value as Altitude",
+        "cast(ts as timestamp) as StepTimestamp",
+        "event_id",
     )
 
 
