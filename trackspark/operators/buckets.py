@@ -22,12 +22,14 @@ def bucketize(df: DataFrame, bins: list[float], names: list[str], in_col: str, o
     return df.withColumn(out_col, chain.otherwise(F.lit(names[-1])))
 
 
-def distribution(df: DataFrame, cat_col: str, count_col: str) -> DataFrame:
+def distribution(df: DataFrame, cat_col: str, count_col: str, weight: str | None = None) -> DataFrame:
     """Rows per bucket and their share in percent; only buckets that occur are listed.
 
-    The shuffle carries one partial count per task and bucket, however the rows are spread.
-    The total runs over those few bucket rows, so its single partition is of fixed size.
+    With ``weight`` a row counts as often as that column says. The shuffle carries one partial
+    count per task and bucket, however the rows are spread. The total runs over those few bucket
+    rows, so its single partition is of fixed size.
     """
-    counts = df.groupBy(cat_col).agg(F.count("*").alias(count_col))
+    counted = F.sum(weight) if weight else F.count("*")
+    counts = df.groupBy(cat_col).agg(counted.alias(count_col))
     total = F.sum(count_col).over(Window.partitionBy())
     return counts.withColumn("percentage", F.lit(100) * F.col(count_col) / total)

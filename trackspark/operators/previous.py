@@ -51,7 +51,7 @@ class HotLimits:
     rows: int = 4_000_000
     groups: int = 50_000
     slices: int = 4096
-    small_bytes: int = 1 << 30
+    small_bytes: int = 256 << 20
     copies_per_row: int = 1_000_000
 
 

@@ -95,6 +95,25 @@ def net_time_report(durations: DataFrame) -> DataFrame:
     return distribution(named, "TimeCat", "TimeNetDistribution")
 
 
+def joint_counts(summary: DataFrame) -> DataFrame:
+    """Trajectories per combination of the three buckets: a table of at most 125 rows."""
+    named = bucketize(summary, LENGTH_BINS, LENGTH_NAMES, "TotalDistance", "DistCat")
+    named = bucketize(named, TIME_BINS, TIME_NAMES, "TimeDiffHours", "GrossCat")
+    named = bucketize(named, TIME_BINS, TIME_NAMES, "StepTimestampDiff", "NetCat")
+    return named.groupBy("DistCat", "GrossCat", "NetCat").agg(F.count("*").alias("Trajectories"))
+
+
+def reports_from_joint_counts(counts: DataFrame) -> dict[str, DataFrame]:
+    gross = counts.withColumnRenamed("GrossCat", "TimeCat")
+    # trajectories without a moving step have no net time and are not part of that report
+    net = counts.withColumnRenamed("NetCat", "TimeCat").where(F.col("TimeCat").isNotNull())
+    return {
+        "length": distribution(counts, "DistCat", "TotalDistanceDistribution", "Trajectories"),
+        "time_gross": distribution(gross, "TimeCat", "TimeGrossDistribution", "Trajectories"),
+        "time_net": distribution(net, "TimeCat", "TimeNetDistribution", "Trajectories"),
+    }
+
+
 def chart_table(dist: DataFrame, cat_col: str, count_col: str) -> DataFrame:
     """What a pie chart of a distribution shows: slice name, share of the circle, percent text."""
     total = F.sum(count_col).over(Window.partitionBy())
