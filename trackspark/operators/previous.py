@@ -7,8 +7,9 @@ count and taken apart by time:
 
 * a hot group is cut at time quantiles into slices of about equal row counts, so the window
   shuffles on (group, slice);
-* exact copies of a row are first collapsed to one row with a count, so that a run of copies,
-  which no cut can separate, never travels as single rows;
+* a time that fills a slice on its own shows as a repeated quantile. Exact copies of a row at
+  such a time are collapsed to one row with a count before they are shuffled, because no cut
+  can separate them;
 * the first row of a slice takes its predecessor from the last row of the slice before,
   through a table of slice ends with one row per slice.
 
@@ -33,6 +34,8 @@ _SLICE = "_slice"
 _CUTS = "_cuts"
 _PIECES = "_pieces"
 _TIME = "_time"
+# what a missing time is ordered as: before every time there is
+_NO_TIME = -(1 << 63)
 
 
 @dataclass(frozen=True)
@@ -83,7 +86,7 @@ def previous_branches(df: DataFrame, keys: Sequence[str], order_by: str, carry:
     """
     limits = limits or HotLimits()
     size = estimated_bytes(df)
-    timed = df.withColumn(_TIME, micros(F.col(order_by)))
+    timed = df.withColumn(_TIME, F.coalesce(micros(F.col(order_by)), F.lit(_NO_TIME)))
     ordering = [_TIME, *tiebreak]
     if size is not None and size <= limits.small_bytes:
         return [Branch(_lag(timed, keys, ordering, carry).drop(_TIME), False)]
@@ -96,9 +99,10 @@ def previous_branches(df: DataFrame, keys: Sequence[str], order_by: str, carry:
     sliced = (_match(timed, cuts, keys, "inner")
               .withColumn(_SLICE, _slice_of(F.col(_TIME), F.col(_CUTS), limits.slices))
               .drop(_CUTS))
-    collapsed = sliced.groupBy(*sliced.columns).agg(F.count("*").alias(COPIES))
-    within = _lag(collapsed, [*keys, _SLICE], ordering, carry)
-    ends = _slice_ends(collapsed, keys, ordering, carry)
+    # both users of these rows are to read the same shuffle
+    rows = _collapse_copies(sliced, _crowded_times(cuts, keys), keys).repartition(*keys, _SLICE)
+    within = _lag(rows, [*keys, _SLICE], ordering, carry)
+    ends = _slice_ends(rows, keys, ordering, carry)
     stitched = (_match(within, ends, [*keys, _SLICE], "left")
                 .withColumn(PREVIOUS, F.coalesce(PREVIOUS, "_before"))
                 .drop("_before", _SLICE, _TIME))
@@ -159,6 +163,20 @@ def _cut_points(timed: DataFrame, hot: DataFrame, keys: Sequence[str], limits: H
             .select(*keys, pick.alias(_CUTS)))
 
 
+def _crowded_times(cuts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The times that two or more cuts of a group fall on; as a rule there are none."""
+    at = F.col(_CUTS)
+    repeated = F.filter(at, lambda t, i: (i > 0) & (F.get(at, i - 1) == t))
+    return cuts.select(*keys, F.explode(F.array_distinct(repeated)).alias(_TIME))
+
+
+def _collapse_copies(sliced: DataFrame, crowded: DataFrame, keys: Sequence[str]) -> DataFrame:
+    calm = _match(sliced, crowded, [*keys, _TIME], "left_anti").withColumn(COPIES, F.lit(1).cast("bigint"))
+    packed = (_match(sliced, crowded, [*keys, _TIME], "inner")
+              .groupBy(*sliced.columns).agg(F.count("*").alias(COPIES)))
+    return calm.unionByName(packed)
+
+
 def _slice_of(time: Column, cuts: Column, most: int) -> Column:
     """How many cuts are at or before a time, by binary descent."""
     strides = [1 << b for b in reversed(range(most.bit_length()))]
