@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from tests.conftest import FIRST, GOLDEN, LABELS, RUN_TS, at, label_text, track_text, write
+from trackspark.__main__ import main
 from trackspark.operators import HotLimits
 from trackspark.plans import runs
 from trackspark.sources import EmptyLabelsError, geo_table_sql, read_geo_table
@@ -122,3 +123,14 @@ def test_batch_run_refuses_an_incremental_table(spark, tree, tmp_path):
     ingest_incremental(spark, str(tree), str(tmp_path / "out" / "geo_table.parquet"), str(tmp_path / "state"))
     with pytest.raises(ValueError, match="incremental"):
         runs.ingest(spark, str(tree), str(tmp_path / "out"))
+
+
+def test_commands(spark, tree, tmp_path, capsys):
+    out = str(tmp_path / "out")
+    main(["ingest", "--input_folder", str(tree), "--output_folder", out])
+    assert labelled(read_geo_table(spark, out)) == GOLDEN_LABELLED
+    main(["time-net", "--database_folder", out, "--run_id", "5", "--speed_mode", "km_per_hour", "--format", "csv"])
+    assert capsys.readouterr().out.split()[-1] == f"{out}/time_net_5.csv"
+    main(["ingest-new", "--input_folder", str(tree), "--output_folder", str(tmp_path / "new"),
+          "--checkpoint", str(tmp_path / "state")])
+    assert labelled(read_geo_table(spark, str(tmp_path / "new"))) == GOLDEN_LABELLED
