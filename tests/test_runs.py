@@ -99,12 +99,12 @@ def test_incremental_ingest(spark, tree, tmp_path):
     def run():
         return ingest_incremental(spark, str(tree), out, state, archive)
 
-    run()
+    assert run()
     assert labelled(spark.read.parquet(out)) == GOLDEN_LABELLED
-    assert run() == 0
+    assert not run()
     assert labelled(spark.read.parquet(out)) == GOLDEN_LABELLED
     write(tree / "Data" / "009" / "Trajectory" / "new.plt", track_text(FIRST))
-    assert run() > 0
+    assert run()
     got = labelled(spark.read.parquet(out))
     assert [r for r in got if r[0] == "000"] == GOLDEN_LABELLED
     assert [r[1] for r in got if r[0] == "009"] == ["new"] * 4
@@ -113,6 +113,13 @@ def test_incremental_ingest(spark, tree, tmp_path):
     assert len(list((tmp_path / "archive").rglob("*.plt"))) == 2
 
 
+def test_incremental_ingest_in_bounded_batches(spark, tree, tmp_path):
+    out = tmp_path / "table"
+    ingest_incremental(spark, str(tree), str(out), str(tmp_path / "state"), max_files_per_trigger=1)
+    assert labelled(spark.read.parquet(str(out))) == GOLDEN_LABELLED
+    assert len([p for p in (out / "_spark_metadata").iterdir() if p.name.isdigit()]) == 2
+
+
 def test_incremental_table_is_kept_apart(spark, tree, tmp_path):
     path = runs.ingest(spark, str(tree), str(tmp_path / "out"))
     with pytest.raises(ValueError, match="path of its own"):
