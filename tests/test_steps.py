@@ -19,8 +19,10 @@ def near(x):
     return pytest.approx(x, abs=1e-9)
 
 
-def test_golden_distances(steps):
-    got = calculate_distance(steps, ["UserId", "TrajectoryId"], "StepTimestamp")
+@pytest.mark.parametrize("limits", [None, HotLimits(rows=1, groups=100, slices=4, small_bytes=0)])
+def test_golden_distances(steps, limits):
+    # the trajectory column is spelled differently on purpose
+    got = calculate_distance(steps, ["UserId", "TrajectoryId"], "StepTimestamp", limits=limits)
     assert got.columns == [*steps.columns, "PrevLongitude", "PrevLatitude", "Distance"]
     for name, rows in GOLDEN.items():
         mine = got.where(F.col("TrajectoryID") == name).orderBy("StepTimestamp").collect()

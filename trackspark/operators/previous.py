@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackspark.functions.timing import micros
+from trackspark.session import ensure_checkpoint_dir
 
 PREVIOUS = "_previous"
 COPIES = "_copies"
@@ -82,20 +83,27 @@ def previous_branches(df: DataFrame, keys: Sequence[str], order_by: str, carry:
                       tiebreak: Sequence[str] = (), limits: HotLimits | None = None) -> list[Branch]:
     """Attach to every row the ``carry`` columns of its predecessor in its group.
 
-    ``order_by`` has to be a time column; equal times are ordered by ``tiebreak``.
+    ``order_by`` has to be a time column; equal times are ordered by ``tiebreak``. For input that
+    is not small, the search for hot groups runs when this is called.
     """
     limits = limits or HotLimits()
-    size = estimated_bytes(df)
+    spelled = {c.lower(): c for c in df.columns}
+    keys = [k if k in df.columns else spelled.get(k.lower(), k) for k in keys]
     timed = df.withColumn(_TIME, F.coalesce(micros(F.col(order_by)), F.lit(_NO_TIME)))
     ordering = [_TIME, *tiebreak]
+    size = estimated_bytes(df)
     if size is not None and size <= limits.small_bytes:
         return [Branch(_lag(timed, keys, ordering, carry).drop(_TIME), False)]
 
-    hot = _hot_groups(df, keys, limits)
-    cold_rows = _match(timed, hot, keys, "left_anti")
-    cold = _lag(cold_rows, keys, ordering, carry).drop(_TIME)
+    # Quantiles may come out differently when they are computed again, and rows must be cut the
+    # same way wherever they are used. So the small table of cuts is written down first.
+    ensure_checkpoint_dir(df.sparkSession)
+    cuts = _cut_points(timed, _hot_groups(df, keys, limits), keys, limits).checkpoint()
+    if cuts.isEmpty():
+        return [Branch(_lag(timed, keys, ordering, carry).drop(_TIME), False)]
 
-    cuts = _cut_points(timed, hot, keys, limits)
+    cold_rows = _match(timed, cuts.select(*keys), keys, "left_anti")
+    cold = _lag(cold_rows, keys, ordering, carry).drop(_TIME)
     sliced = (_match(timed, cuts, keys, "inner")
               .withColumn(_SLICE, _slice_of(F.col(_TIME), F.col(_CUTS), limits.slices))
               .drop(_CUTS))
