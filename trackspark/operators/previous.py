@@ -208,7 +208,7 @@ def _write_out_copies(df: DataFrame, carry: Sequence[str], limits: HotLimits) ->
     chunked = df.withColumn("_chunk", F.explode(F.sequence(
         F.lit(0).cast("bigint"), F.call_function("div", F.col(COPIES) - 1, F.lit(per_row)))))
     # a long run of copies has many chunks: spread them before they become rows again
-    spread = chunked.repartition(*[c for c, t in df.dtypes if c not in (PREVIOUS,)], "_chunk")
+    spread = chunked.repartition(*[c for c in df.columns if c != PREVIOUS], "_chunk")
     here = F.least(F.lit(per_row).cast("bigint"), F.col(COPIES) - F.col("_chunk") * per_row)
     first = (F.col("_chunk") == 0) & (F.col("_i") == 1)
     return (spread.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), here)))

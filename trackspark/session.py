@@ -27,9 +27,10 @@ def build_session(app_name: str = "trackspark", master: str | None = None, **con
 
 
 def size_file_listing(spark: SparkSession) -> None:
-    """Let a listing of many paths run as a few tasks per core; Spark's default is one per path."""
-    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism",
-                   4 * spark.sparkContext.defaultParallelism)
+    """On a local master, list many paths in a few tasks per core; Spark's default is one per path."""
+    if spark.sparkContext.master.startswith("local"):
+        spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism",
+                       4 * spark.sparkContext.defaultParallelism)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,7 +42,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="trackspark-"))
     return spark.sparkContext.getCheckpointDir()
