@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackspark.schemas import LABEL_TIME_FORMAT, MODES, TRACK_TIME_FORMAT
@@ -77,8 +77,10 @@ def write_raw_files(steps: DataFrame, raw_labels: DataFrame, root: str) -> None:
 
 
 def _write_files(lines: DataFrame, header: str, root: str) -> None:
+    uri = _qualified(lines.sparkSession, root)
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filesystem, base = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+        filesystem, base = fs.FileSystem.from_uri(uri)
         current, out = None, None
         for batch in batches:
             for name, line in zip(batch.column("file").to_pylist(), batch.column("line").to_pylist()):
@@ -96,3 +98,10 @@ def _write_files(lines: DataFrame, header: str, root: str) -> None:
 
     placed = lines.repartition("file").sortWithinPartitions("file", "at").select("file", "line")
     placed.mapInArrow(write, "done bigint").agg(F.count("*")).collect()
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """A path as Spark understands it, in the form the file systems of Arrow take."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
+    return "/" + full.removeprefix("file:").lstrip("/") if full.startswith("file:") else full
