@@ -3,8 +3,9 @@
 The join is a blocked product of the sparse incidence matrix of documents by shingles, cut down by what
 sizes imply. Documents with equal sets are one row of it. For the smaller of two linked sets, of size s, the
 sets differ in at most d = s * (1 - t) / t shingles. Shingles are dealt by hash over parts, more than d of them; some parts
-are then equal in both. A part is keyed by the hash of its shingles. Parts of fewer than ``THIN`` shingles are
-left out where a document has more than d others, as one of those must be equal too; else all of them stay.
+are then equal in both. A part is keyed by the hash of its shingles. Parts of few shingles are
+left out where a document has more than d others, as one of those must be equal too; else all of them stay. For low bounds,
+where parts are small, shingles of passages that many documents share are found first and left out of the keys in the same way.
 Sizes are put into classes, and a document is keyed for its own class and for that of the least size it may be linked with.
 
 Documents that share a key are candidates, and connected candidates are put into blocks of bounded size in order of size.
@@ -34,8 +35,8 @@ from trackspark.llm.common import running_total, runs, same, stored
 from trackspark.llm.components import components, join_sets
 from trackspark.llm.words import NOT_SPACE, find_words, grams, mix
 
-#: parts with fewer shingles are keyed only where there is no other way
-THIN = 3
+#: shingles counted so often in batches that hold them twice are common, where parts are small
+COMMON = 10
 #: a size class ends at so many times its least size
 CLASS_RATIO = 1.25
 BLOCK_WEIGHT = 1 << 18
@@ -51,6 +52,11 @@ class Overlap:
     num: int = 90
     den: int = 100
 
+    @property
+    def thin(self) -> int:
+        """Least shingles of a part that is keyed in any case: about a third of what a part has."""
+        return max(1, self.num // (self.den - self.num) // 3)
+
     def linked(self, overlap: np.ndarray, total: np.ndarray) -> np.ndarray:
         return self.den * overlap >= self.num * (total - overlap)
 
@@ -88,28 +94,52 @@ def _classes(size: int) -> tuple[int, int]:
     return number, top
 
 
-def part_keys(shingles: np.ndarray, rule: Overlap) -> np.ndarray:
-    """Keys of a set, of which two linked sets share one unless they are equal."""
+def part_keys(shingles: np.ndarray, rule: Overlap, common: np.ndarray | None = None) -> np.ndarray:
+    """Keys of a set, of which two linked sets share one unless they are equal.
+
+    ``common`` marks shingles that are left out of the keys (the same ones for every set) as long as enough parts remain.
+    """
     size = len(shingles)
     if not size:
         return np.zeros(0, np.uint64)
+    rare = shingles if common is None else shingles[~common]
     wanted = {_classes(size), _classes(rule.least_partner(size))}
     out = []
     for number, top in sorted(wanted):
         d = rule.differing(top)
         if d == 0:
             continue  # sets this small are linked only if equal
-        parts = d + 1 + max(0, d // 4)
-        place = ((shingles >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
-        sums, counts = np.zeros(parts, np.uint64), np.bincount(place, minlength=parts)
-        np.add.at(sums, place, mix(shingles + np.uint64(1)))
-        keys = mix(sums + mix(np.arange(parts, dtype=np.uint64) + np.uint64(number << 32)))
-        thick = counts >= THIN
+        keys, thick = _parts(rare, d, number, rule.thin)
+        if common is not None:
+            out.append(keys[thick])
+            if thick.sum() > d:
+                continue
+            keys, thick = _parts(shingles, d, number + (1 << 16), rule.thin)
         out.append(keys[thick] if thick.sum() > d else keys)
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def _keyed(n: int, rule: Overlap):
+def _parts(shingles: np.ndarray, d: int, salt: int, thin: int) -> tuple[np.ndarray, np.ndarray]:
+    """A key per part, and which parts hold at least ``thin`` shingles."""
+    parts = d + 1 + d // 4
+    place = ((shingles >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
+    sums, counts = np.zeros(parts, np.uint64), np.bincount(place, minlength=parts)
+    np.add.at(sums, place, mix(shingles + np.uint64(1)))
+    return mix(sums + mix(np.arange(parts, dtype=np.uint64) + np.uint64(salt << 32))), counts >= thin
+
+
+def _repeats(n: int):
+    """Shingles that several texts of an Arrow batch hold, with how many."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [s for part in runs(batch, "text") for s in shingle_sets(part.column("text"), n)]
+            shingles, counts = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            twice = counts > 1
+            yield pa.RecordBatch.from_arrays([pa.array(shingles[twice].view(np.int64)), pa.array(counts[twice])], ["shingle", "n"])
+    return run
+
+
+def _keyed(n: int, rule: Overlap, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in runs(batch, "text"):
@@ -118,7 +148,8 @@ def _keyed(n: int, rule: Overlap):
                 keys = []
                 for i, s in enumerate(sets):
                     one[i], other[i] = mix(s).sum(), mix(s ^ np.uint64(0x5555555555555555)).sum()
-                    keys.append(part_keys(s, rule).view(np.int64))
+                    known = may_hold(common.value, s.view(np.int64)) if common is not None else None
+                    keys.append(part_keys(s, rule, known).view(np.int64))
                 size = np.asarray([len(k) for k in keys])
                 offsets = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
                 flat = pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))
@@ -226,7 +257,11 @@ def ngram_join(docs: DataFrame, n: int = 3, rule: Overlap = Overlap()) -> DataFr
     """One row per document: doc_id, n_shingles, component_id (the smallest doc_id it is connected with)."""
     spark = docs.sparkSession
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    keyed = stored(base.mapInArrow(_keyed(n, rule), "doc_id long, n long, one long, other long, keys array<long>"), "keyed")
+    common = None
+    if rule.thin < 3:
+        often = base.select("text").mapInArrow(_repeats(n), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+        common = spark.sparkContext.broadcast(key_bitmap(often.where(F.col("n") >= COMMON).select("shingle")))
+    keyed = stored(base.mapInArrow(_keyed(n, rule, common), "doc_id long, n long, one long, other long, keys array<long>"), "keyed")
     able = keyed.where("n > 0 and doc_id is not null")
     sets = stored(able.groupBy("n", "one", "other").agg(F.min("doc_id").alias("first")), "sets")
     groups = components(_candidate_edges(able))

@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -171,10 +172,14 @@ def _fit(hashes: np.ndarray, lists: list, counterfactual: float, ridge: float) -
     return Model(hashes, w * scale, float(b))
 
 
+def toxicity(model: Model):
+    """The model as a function of a text column."""
+    @F.pandas_udf("double")
+    def score(text: pd.Series) -> pd.Series:
+        return pd.Series(model.score(pa.array(text, pa.string(), from_pandas=True)))
+    return score
+
+
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """One row per document: doc_id, score."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in runs(batch, "text"):
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(model.score(part.column("text")))], ["doc_id", "score"])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), toxicity(model)("text").alias("score"))
