@@ -7,6 +7,7 @@ are rounded to six decimals, because the order of summation differs.
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 
 from pyspark import cloudpickle
@@ -160,6 +161,21 @@ def _stored_report_rows(spark: SparkSession, d: str, fmt: str) -> DataFrame:
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
+def _text_parts() -> tuple[dict, dict]:
+    """Queries and SQL of the subpackage for text and vectors, if it is there."""
+    if not all(importlib.util.find_spec(name) for name in ("trackspark.llm", "corpus_pipeline")):
+        return {}, {}
+    import corpus_pipeline
+    from trackspark.llm import oracles
+    from trackspark.llm import queries as text_queries
+
+    cloudpickle.register_pickle_by_value(corpus_pipeline)
+    sql = oracles.oracle_sql()
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return text_queries.queries() | {"pipeline": corpus_pipeline.run}, sql
+
+
 def entry(spark: SparkSession) -> DataFrame:
     return analyses.length_distribution(_steps(spark, SMOKE_DIR))
 
@@ -197,7 +213,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_stream": _ingest_stream,
         "stored_reports_parquet": lambda s, d: _stored_report_rows(s, d, "parquet"),
         "stored_reports_csv": lambda s, d: _stored_report_rows(s, d, "csv"),
-    }
+    } | _text_parts()[0]
 
 
 # ---- SQL equivalents -------------------------------------------------------------------------
@@ -332,4 +348,4 @@ def oracle_sql() -> dict[str, str]:
         "ingest_stream": _FILE_LABELLED,
         "stored_reports_parquet": reports,
         "stored_reports_csv": reports,
-    }
+    } | _text_parts()[1]
