@@ -1,8 +1,8 @@
 """Toxicity: a logistic classifier over words, regularised by counterfactual sentences.
 
-A text is the set of its words (digits, letters, longer characters; A-Z lower-cased). The
-vocabulary is what labelled texts show to be frequent enough and most telling, plus the identity
-terms. Training adds, for every labelled sentence that names a group, the sentence with another
+A text is the set of its words (digits, letters, longer characters; A-Z lower-cased) and of the beginnings
+of longer words, for endings that vary. The vocabulary is what labelled texts show to be frequent enough and
+telling beyond chance, plus the identity terms. Training adds, for every labelled sentence that names a group, the sentence with another
 group in its place, and penalises the square of the change in score, so a score does not hang on
 which group is named: fewer false alarms on neutral mentions.
 
@@ -27,12 +27,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackspark.llm.common import runs, stored
-from trackspark.llm.words import ALNUM, find_words
+from trackspark.llm.words import ALNUM, find_words, hash_bytes, mix
 
 #: documented bounds: labelled rows to learn from, words the model knows, texts a word must be in
 TRAIN_ROWS = 20_000
 VOCABULARY = 4096
 LEAST_TEXTS = 5
+#: standard errors by which a word's share of toxic texts has to differ from the mean
+TELLING = 5.0
+#: bytes of beginnings
+BEGINNINGS = (4, 5, 6)
 
 #: Terms naming groups, by kind; a term is swapped for the others of its kind.
 IDENTITY_TERMS = {
@@ -63,14 +67,30 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
+def _units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Text and hash of every word and of the beginnings of longer words."""
+    words = find_words(texts, ALNUM)
+    docs, hashes = [words.doc], [words.hash]
+    for size in BEGINNINGS:
+        longer = words.end - words.start > size
+        start = words.start[longer]
+        docs.append(words.doc[longer])
+        hashes.append(mix(hash_bytes(words.data, start, start + size) + np.uint64(size)))
+    return np.concatenate(docs), np.concatenate(hashes)
+
+
 def present(texts: pa.Array, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which known words are in which text, once each, as rows and indexes."""
-    words = find_words(texts, ALNUM)
     if not len(hashes):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at = np.minimum(np.searchsorted(hashes, words.hash), len(hashes) - 1)
-    hit = hashes[at] == words.hash
-    pairs = np.unique(words.doc[hit] * np.int64(len(hashes)) + at[hit])
+    doc, unit = _units(texts)
+    maybe = np.zeros(1 << 16, bool)
+    maybe[hashes & np.uint64(0xFFFF)] = True
+    near = maybe[unit & np.uint64(0xFFFF)]
+    doc, unit = doc[near], unit[near]
+    at = np.minimum(np.searchsorted(hashes, unit), len(hashes) - 1)
+    hit = hashes[at] == unit
+    pairs = np.unique(doc[hit] * np.int64(len(hashes)) + at[hit])
     return pairs // len(hashes), pairs % len(hashes)
 
 
@@ -114,7 +134,7 @@ def _sentence_swaps(text: str, hashes: np.ndarray, swaps: dict[int, list[int]])
     return [x for pair in out for x in pair]
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, counterfactual: float = 10.0, ridge: float = 2e-3) -> Model:
+def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, counterfactual: float = 10.0, ridge: float = 1.0) -> Model:
     """Fit to the texts of ``docs`` that ``labels`` (doc_id, toxic) marks. Both hold training rows only."""
     marked = stored(docs.select("doc_id", "text").join(
         labels.where("toxic is not null").select("doc_id", F.when(F.col("toxic") > 0, 1).otherwise(0).cast("long").alias("toxic")),
@@ -132,7 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, counterfac
     telling = (sample.mapInArrow(_distinct_words, "word long, toxic long").groupBy("word")
                .agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).where(F.col("n") >= LEAST_TEXTS)
                .withColumn("z", F.abs(F.col("t") - F.col("n") * base) / F.sqrt(F.col("n") * base * (1 - base)))
-               .orderBy(F.desc("z"), "word").limit(VOCABULARY).collect())
+               .where(F.col("z") >= TELLING).orderBy(F.desc("z"), "word").limit(VOCABULARY).collect())
     terms = {t: word_hashes([t])[0] for kind in IDENTITY_TERMS.values() for t in kind}
     hashes = np.unique(np.concatenate([np.asarray([r["word"] for r in telling], np.int64).view(np.uint64),
                                        np.asarray(list(terms.values()), np.uint64)]))
@@ -152,13 +172,13 @@ def _fit(hashes: np.ndarray, lists: list, counterfactual: float, ridge: float) -
     pairs, weight = np.unique(pairs, axis=0, return_counts=True) if len(pairs) else (pairs, np.zeros(0))
     n, v = len(y), len(hashes)
     df = np.bincount(col, minlength=v)
-    scale = 1 / np.sqrt(1 + df / n * 200)  # words of most texts say little and move slowly
+    scale = 1 / np.sqrt(1 + 10 * df / n)  # words of most texts move slowly
     w, b, mw, mb = np.zeros(v), np.log(y.mean() / (1 - y.mean())), np.zeros(v), 0.0
     vw, vb = np.zeros(v), 0.0
     for t in range(1, 401):  # Adam, with the whole sample each step
         z = b + np.bincount(row, w[col] * scale[col], minlength=n)
         g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / n
-        gw = np.bincount(col, g[row], minlength=v) * scale + ridge * w * scale
+        gw = np.bincount(col, g[row], minlength=v) * scale + ridge / n * w
         if len(pairs):
             change = (w * scale)[pairs[:, 0]] - (w * scale)[pairs[:, 1]]
             pull = 2 * counterfactual / n * weight * change

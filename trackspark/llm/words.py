@@ -81,10 +81,11 @@ def find_words(texts: pa.Array, word_bytes: np.ndarray) -> Words:
         last[ends] = inside[ends]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
     doc = np.searchsorted(offsets, start, "right") - 1
-    return Words(data, offsets, doc, start, end, _hashes(data, start, end))
+    return Words(data, offsets, doc, start, end, hash_bytes(data, start, end))
 
 
-def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def hash_bytes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of runs of lower-cased bytes, of which neither starts nor ends fall."""
     out = np.empty(len(start), np.uint64)
     longest = int((end - start).max()) if len(start) else 0
     reach = _PIECE + (1 << longest.bit_length())
