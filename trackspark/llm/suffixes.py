@@ -10,9 +10,9 @@ document. Four steps narrow down what has to be sorted, without losing a match:
    windows of the others are repeats.
 4. Contexts that differ but have an anchor in common are collected, shuffled by anchor, as texts of small shards. A
    shard's Burrows-Wheeler transform is built once. The shards' transforms are then merged by refining their interleave,
-   one symbol each round: the order by ``h`` symbols, stably sorted by the symbol before, is the order by ``h + 1``. A boundary
-   that appears in round ``h`` is a common prefix of ``h - 1``; suffixes alone between boundaries are done. After ``length``
-   rounds the intervals left are the repeated strings; no suffixes are sorted again.
+   ``k`` (4) symbols each round: the order by ``h`` symbols, stably sorted by the ``k`` symbols before, is the order by ``h + k``. A
+   boundary that appears in a round is where a common prefix ends in it; suffixes alone between boundaries are done. After
+   ``length`` symbols the intervals left are the repeated strings; no suffixes are sorted again.
 
 An anchor with more than ``HOT_CONTEXTS`` different contexts (the edges of a passage that is everywhere) is too much for one task;
 its contexts are cut into their single windows, and step 3 is done again with those.
@@ -37,15 +37,15 @@ from trackspark.llm.common import runs, same, stored
 from trackspark.llm.words import BASE, mix, powers, utf8
 
 LENGTH = 100
-GRAM = 24
+GRAM = 48
 HOT_CONTEXTS = 20_000
 #: bytes of contexts that are merged at once, and of a shard of them
 MERGE_BYTES = 1 << 20
 SHARD_BYTES = 1 << 18
 #: broadcast the table of repeated texts up to so many rows
 BROADCAST_ROWS = 1_000_000
-_PIECE_BITS = 21
-_CONTEXT = "print long, doc_id long, text_hash long, at long, first long, n int, context binary, c1 long, c2 long"
+_PIECE_BITS = 20
+_CONTEXT = "print long, doc_id long, text_hash long, at long, first long, n int, c1 long, c2 long"
 
 
 def pieces(texts: pa.Array, length: int, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -113,8 +113,8 @@ def _double_hash(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.nda
     return out[0], out[1]
 
 
-def _contexts(length: int, bitmap):
-    """Contexts of the anchors that the bitmap may hold."""
+def _contexts(length: int, bitmap, wanted=None):
+    """Contexts of the anchors that the bitmap may hold; with their bytes only those that ``wanted`` may hold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, hashes = batch.column("doc_id"), batch.column("text_hash")
@@ -125,71 +125,96 @@ def _contexts(length: int, bitmap):
                 which = np.searchsorted(offsets, first, "right") - 1
                 shift = base[which] - offsets[which]
                 c1, c2 = _double_hash(data, first, first + n + length - 1)
-                raw = data.tobytes()
                 row = pa.array(docs[which])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(prints.view(np.int64)), ids.take(row), hashes.take(row), pa.array(at + shift), pa.array(first + shift),
-                     pa.array(n.astype(np.int32)), pa.array([raw[a:b] for a, b in zip(first.tolist(), (first + n + length - 1).tolist())], pa.binary()),
-                     pa.array(c1), pa.array(c2)], ["print", "doc_id", "text_hash", "at", "first", "n", "context", "c1", "c2"])
+                columns = [pa.array(prints.view(np.int64)), ids.take(row), hashes.take(row), pa.array(at + shift), pa.array(first + shift),
+                           pa.array(n.astype(np.int32)), pa.array(c1), pa.array(c2)]
+                names = ["print", "doc_id", "text_hash", "at", "first", "n", "c1", "c2"]
+                if wanted is not None:
+                    some = np.flatnonzero(may_hold(wanted.value, c1))
+                    raw = data.tobytes()
+                    bytes_ = [raw[a:b] for a, b in zip(first[some].tolist(), (first + n + length - 1)[some].tolist())]
+                    columns = [*(c.take(pa.array(some)) for c in columns), pa.array(bytes_, pa.binary())]
+                    names = [*names, "context"]
+                yield pa.RecordBatch.from_arrays(columns, names)
     return run
 
 
-def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Order of the suffixes of ``text``, whose values below its number of strings are the strings' ends, each once."""
-    n = len(text)
-    _, rank = np.unique(text, return_inverse=True)
-    h = 1
+def suffix_array(text: np.ndarray, to_end: np.ndarray) -> np.ndarray:
+    """Order of the suffixes of strings laid end to end, each ending in 0 (symbols are 1 to 256).
+
+    ``to_end`` is how far each position is from its string's end; equal suffixes are ordered by string. Prefix
+    doubling from 7 symbols, each round only over what is not yet alone.
+    """
+    n, h = len(text), 7
+    padded = np.concatenate([text, np.zeros(h, np.int64)])
+    key = np.zeros(n, np.int64)
+    for i in range(h):
+        key = key << 9 | np.where(i < to_end, padded[i:i + n], 0)
+    order = np.argsort(key, kind="stable")
+    sorted_key = key[order]
+    edge = np.ones(n + 1, bool)
+    edge[1:-1] = (sorted_key[1:] != sorted_key[:-1]) | (to_end[order][1:] < h)
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(edge[:-1], np.arange(n), 0))
     while True:
-        after = np.zeros(n, np.int64)
-        after[:n - h] = rank[h:] + 1
-        key = rank * np.int64(n + 2) + after
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
-        if rank[order[-1]] == n - 1 or h >= n:
+        open_ = np.flatnonzero(~(edge[:-1] & edge[1:]))
+        if not len(open_):
             return order
+        at = order[open_]
+        key = rank[at] * np.int64(n + 1) + rank[at + h]
+        by = np.argsort(key, kind="stable")
+        order[open_] = at[by]
+        key = key[by]
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        edge[open_] = new
+        rank[order[open_]] = np.maximum.accumulate(np.where(new, open_, 0))
         h *= 2
 
 
-def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A shard's Burrows-Wheeler transform (0 at the ends), its step to the symbol before, and its suffixes as string and offset."""
+def transform(strings: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A shard's Burrows-Wheeler transform by ``k`` symbols: per suffix, in order, the symbols before it (-1 where the string has
+    fewer), the place of the suffix they begin, its string and its offset."""
     sizes = np.asarray([len(s) + 1 for s in strings])
     ends = np.cumsum(sizes) - 1
-    text = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8).astype(np.int64) + len(strings)
-    text[ends] = np.arange(len(strings))
-    order = suffix_array(text)
+    text = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8).astype(np.int64) + 1
+    text[ends] = 0
+    string_of = np.repeat(np.arange(len(strings)), sizes)
+    order = suffix_array(text, ends[string_of] - np.arange(len(text)))
     place = np.empty(len(text), np.int64)
     place[order] = np.arange(len(text))
-    before = order - 1
-    starts = ends - sizes + 1
-    symbols = np.where(text[before] < len(strings), 0, text[before] - len(strings) + 1).astype(np.int16)
-    string = np.searchsorted(ends, order)
-    return symbols, place[before], string, order - starts[string]
+    string = string_of[order]
+    offset = order - (ends - sizes + 1)[string]
+    symbols = np.zeros(len(text), np.int64)
+    for i in range(k, 0, -1):
+        symbols = symbols << 9 | text[order - i]
+    return np.where(offset >= k, symbols, -1), place[order - k], string, offset
 
 
 def repeated(strings: list[bytes], length: int = LENGTH, shard: int = SHARD_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All places where a string of ``length`` bytes begins that is in ``strings`` more than once: string, offset, number of its interval."""
+    k = next(k for k in (4, 2, 1) if length % k == 0)
     cut = (np.cumsum([len(s) for s in strings]) - 1) // shard
-    symbols, back, string, offset = [], [], [], []
+    parts = []
     done = 0
     for part in np.unique(cut):
         members = np.flatnonzero(cut == part)
-        s, b, t, o = transform([strings[i] for i in members])
-        symbols.append(s)
-        back.append(b + done)
-        string.append(t + members[0])
-        offset.append(o)
+        s, b, t, o = transform([strings[i] for i in members], k)
+        parts.append((s, b + done, t + members[0], o))
         done += len(s)
-    symbols, back, string, offset = (np.concatenate(x) for x in (symbols, back, string, offset))
+    symbols, back, string, offset = (np.concatenate(x) for x in zip(*parts))
+    known, symbols = np.unique(symbols, return_inverse=True)
+    symbols = symbols.astype(np.uint16 if len(known) < 1 << 16 else np.int32)
+    none = int(known[0] == -1)  # the number of "fewer symbols", if there is one, is 0
     # the interleave starts as the shards one after the other, all in one interval
     now, interval = np.arange(done), np.zeros(done, np.int64)
-    for _ in range(length):
+    for _ in range(length // k):
         symbol = symbols[now]
-        inner = np.flatnonzero(symbol)  # before a string's first symbol there is only its end, which no other has
-        symbol = symbol[inner]
-        order = inner[np.argsort(symbol, kind="stable")]
-        symbol, old = symbols[now[order]], interval[order]
+        if none:
+            inner = np.flatnonzero(symbol)
+            now, interval, symbol = now[inner], interval[inner], symbol[inner]
+        order = np.argsort(symbol, kind="stable")
+        symbol, old = symbol[order], interval[order]
         edge = np.ones(len(order) + 1, bool)
         edge[1:-1] = (symbol[1:] != symbol[:-1]) | (old[1:] != old[:-1])
         shared = ~(edge[:-1] & edge[1:])
@@ -271,15 +296,16 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, hot_contexts: int = HOT_
     bitmap = spark.sparkContext.broadcast(key_bitmap(often))  # 16 MB at any size of the corpus
     found = stored(docs.mapInArrow(_contexts(length, bitmap), _CONTEXT), "contexts")
     # what stands for all equal contexts; combined in each task first
-    classes = found.groupBy("c1", "c2").agg(F.min(_place("at")).alias("place"), F.min_by("first", _place("at")).alias("first"),
-                                            F.first("print").alias("print"), F.first("n").alias("n"), F.first("context").alias("context"))
-    chosen = stored(classes.select("c1", "c2", "print", "place.*", "first", "n", "context"), "classes")
-    leader = chosen.select("c1", "c2", F.struct("doc_id", "text_hash", "at").alias("leader"))
-    late = (found.select("c1", "c2", "doc_id", "text_hash", "at", "first", "n").join(leader, ["c1", "c2"])
+    classes = found.groupBy("c1", "c2").agg(F.min(_place("at")).alias("leader"), F.first("print").alias("print"))
+    chosen = stored(classes, "classes")
+    late = (found.select("c1", "c2", "doc_id", "text_hash", "at", "first", "n").join(chosen.select("c1", "c2", "leader"), ["c1", "c2"])
             .where(~same(_place("at"), F.col("leader")))
             .select("doc_id", "text_hash", F.col("first").alias("begin"), (F.col("first") + F.col("n") + (length - 1)).alias("end")))
     several = stored(chosen.groupBy("print").count().where("count > 1").select("print", F.col("count").alias("different")), "several")
-    mixed = chosen.join(several, "print")
+    leaders = stored(chosen.join(several, "print").select("c1", "c2", "leader", "different"), "leaders")
+    wanted = spark.sparkContext.broadcast(key_bitmap(leaders.select("c1")))
+    mixed = stored(docs.mapInArrow(_contexts(length, bitmap, wanted), _CONTEXT + ", context binary").join(leaders, ["c1", "c2"])
+                   .where(same(_place("at"), F.col("leader"))).drop("leader", "c1", "c2"), "mixed")
     columns = ["print", "doc_id", "text_hash", "at", "first", "context"]
     merged = (mixed.where(F.col("different") <= hot_contexts).select(*columns).repartition("print").sortWithinPartitions("print")
               .mapInArrow(_merge(length), "doc_id long, text_hash long, begin long, end long"))
