@@ -40,7 +40,7 @@ COMMON = 10
 #: a size class ends at so many times its least size
 CLASS_RATIO = 1.25
 BLOCK_WEIGHT = 1 << 18
-LEAST_WEIGHT = 256
+LEAST_WEIGHT = 512
 #: broadcast candidate ids up to so many, join by shuffle above
 BROADCAST_ROWS = 2_000_000
 
@@ -179,12 +179,12 @@ def _candidate_edges(keyed: DataFrame) -> DataFrame:
     return maybe.join(shared, "key").where("one <> first").select(F.col("one").alias("a"), F.col("first").alias("b"))
 
 
-def overlaps(sets: list[np.ndarray], columns: int = 4096, dense_from: int = 17) -> np.ndarray:
+def overlaps(sets: list[np.ndarray], columns: int = 2048, dense_from: int = 17) -> np.ndarray:
     """Counts of shared shingles between all of ``sets``, as the product of their incidence matrix with itself."""
     m = len(sets)
     row = np.repeat(np.arange(m), [len(s) for s in sets])
     shingles, col, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    counts = np.zeros(m * m, np.int64)
+    counts = np.zeros(m * m, np.int32)
     few = (df[col] > 1) & (df[col] < dense_from)
     order = np.argsort(col[few], kind="stable")
     r, c = row[few][order], col[few][order]
@@ -192,7 +192,7 @@ def overlaps(sets: list[np.ndarray], columns: int = 4096, dense_from: int = 17)
         pair = np.flatnonzero(c[:-step] == c[step:]) if len(c) > step else np.zeros(0, np.int64)
         if not len(pair):
             break
-        counts += np.bincount(r[pair] * m + r[pair + step], minlength=m * m)
+        np.add.at(counts, r[pair] * m + r[pair + step], np.int32(1))
     counts = counts.reshape(m, m)
     counts = counts + counts.T
     many = df >= dense_from
@@ -205,7 +205,7 @@ def overlaps(sets: list[np.ndarray], columns: int = 4096, dense_from: int = 17)
         a, b = np.searchsorted(c, [first, first + columns])
         block = np.zeros((m, columns), np.float32)
         block[r[a:b], c[a:b] - first] = 1
-        counts += (block @ block.T).astype(np.int64)
+        counts += (block @ block.T).astype(np.int32)
     counts[np.arange(m), np.arange(m)] = [len(s) for s in sets]
     return counts
 
@@ -283,7 +283,7 @@ def ngram_join(docs: DataFrame, n: int = 3, rule: Overlap = Overlap()) -> DataFr
                 ids = [i for i, ok in zip(part.column("doc_id").to_pylist(), meant) if ok]
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([s.tobytes() for s, ok in zip(sets, meant) if ok], pa.binary())],
                                                  ["doc_id", "shingles"])
-    shingles = stored(texts.select("doc_id", "one", "text").mapInArrow(shingled, "doc_id long, shingles binary").dropDuplicates(["doc_id"]), "shingles")
+    shingles = stored(texts.select("doc_id", "one", "text").mapInArrow(shingled, "doc_id long, shingles binary"), "shingles")
     met = (pairs.join(shingles, "doc_id").repartition("group", "left", "right").sortWithinPartitions("group", "left", "right", "doc_id")
            .select("group", "left", "right", "doc_id", "shingles"))
     # equal sets, also of rows that repeat an id, are linked too

@@ -18,7 +18,7 @@ ALNUM = ((_BYTE >= 48) & (_BYTE <= 57)) | ((LOWER >= 97) & (LOWER <= 122)) | (_B
 NOT_SPACE = ~((_BYTE == 32) | ((_BYTE >= 9) & (_BYTE <= 13)))
 
 BASE = 0x9E3779B97F4A7C15 | 1
-_PIECE = 1 << 21
+_PIECE = 1 << 18
 
 
 @lru_cache(maxsize=4)
