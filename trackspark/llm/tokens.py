@@ -44,7 +44,7 @@ SHARD_BYTES = 4 << 20
 #: words a task remembers before it starts anew
 REMEMBERED = 400_000
 _SEPARATOR = "\nSHARD\n"
-_FOOTER = struct.Struct("<QIIIIIB7s")
+_FOOTER = "<QIIIIIB7s"
 _MAGIC = b"IDSHRD1"
 
 
@@ -158,7 +158,7 @@ class Shard:
     def __init__(self, data: bytes):
         end = len(data) - len(_SEPARATOR)
         (self.n_ids, self.n_docs, self.n_keys, self.n_buckets, self.part, self.number, self.width,
-         magic) = _FOOTER.unpack_from(data, end - _FOOTER.size)
+         magic) = struct.unpack_from(_FOOTER, data, end - struct.calcsize(_FOOTER))
         if magic != _MAGIC or data[end:] != _SEPARATOR.encode():
             raise ValueError("not a shard")
         self._at = 0
@@ -206,7 +206,7 @@ def shard_bytes(ids: np.ndarray, sizes: np.ndarray, keys: np.ndarray, missing: n
     begin = np.concatenate([[0], np.cumsum(sizes)]).astype("<u8")
     return b"".join([ids.astype(f"<u{width}").tobytes(), begin.tobytes(), keys.astype("<i8").tobytes(), missing.astype("u1").tobytes(),
                      moves.astype("<i4").tobytes(), prints.tobytes(), at.tobytes(),
-                     _FOOTER.pack(len(ids), len(keys), len(distinct), len(moves), part, number, width, _MAGIC)])
+                     struct.pack(_FOOTER, len(ids), len(keys), len(distinct), len(moves), part, number, width, _MAGIC)])
 
 
 def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, limit: int = SHARD_BYTES) -> None:
