@@ -136,12 +136,13 @@ def _sentence_swaps(text: str, hashes: np.ndarray, swaps: dict[int, list[int]])
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, counterfactual: float = 10.0, ridge: float = 1.0) -> Model:
     """Fit to the texts of ``docs`` that ``labels`` (doc_id, toxic) marks. Both hold training rows only."""
-    marked = stored(docs.select("doc_id", "text").join(
-        labels.where("toxic is not null").select("doc_id", F.when(F.col("toxic") > 0, 1).otherwise(0).cast("long").alias("toxic")),
-        "doc_id").withColumn("draw", F.xxhash64("doc_id", "text")), "marked")
+    marked = (labels.where("toxic is not null and doc_id is not null")
+              .select("doc_id", F.when(F.col("toxic") > 0, 1).otherwise(0).cast("long").alias("toxic")))
     total = marked.count()
     if total > rows:  # the share that gives the bound, by hash
-        marked = marked.where(F.pmod("draw", F.lit(1 << 20)) < int((1 << 20) * rows / total))
+        marked = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * rows / total))
+    # about ``rows`` labels at most, so they go to the texts and not the texts to them
+    marked = stored(docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id"), "marked")
     sample = marked.select("toxic", "text")
     seen = sample.groupBy("toxic").count().collect()
     n = {r["toxic"]: r["count"] for r in seen}
