@@ -14,8 +14,8 @@ stored. The fingerprint in the slot tells keys that are not in the shard (but fo
 leads to its first document; its others follow. Spark's text writer writes one shard per file, ended by its line separator.
 
 Encoding: texts are cut at blanks and line ends, which no token spans, and each distinct word of a batch is
-encoded once by the tokenizer. Plain lower-case words skip its normaliser and splitter, which
-leave them as they are.
+encoded once by the tokenizer. Words of plain letters (ASCII and Latin-1) skip its normaliser and splitter, which
+only lower-case them; marks that follow them are encoded apart, as the splitter does.
 
 NULL and empty texts have the end id alone. NULL as doc_id sorts first; such rows are in the table but have no key in the
 index. Rows that repeat an id each have an entry. Empty tables write no shard. Other columns are not read.
@@ -23,6 +23,7 @@ index. Rows that repeat an id each have an entry. Empty tables write no shard. O
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -41,8 +42,11 @@ from trackspark.llm.words import mix
 
 END_ID = 1
 SHARD_BYTES = 4 << 20
-#: words a task remembers before it starts anew
-REMEMBERED = 400_000
+#: bytes of text whose distinct words are encoded together
+WORDS_FROM = 12 << 20
+#: letters of the Latin-1 block: in composed form, and what lower-casing makes of them
+_LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_LATIN_LOWER = "\u00df-\u00f6\u00f8-\u00ff"
 _SEPARATOR = "\nSHARD\n"
 _FOOTER = "<QIIIIIB7s"
 _MAGIC = b"IDSHRD1"
@@ -52,74 +56,82 @@ class Encoder:
     """Encodes many texts, each distinct word once."""
 
     def __init__(self, tokenizer: str, end_id: int = END_ID):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.full = Tokenizer.from_str(tokenizer)
         self.plain = Tokenizer.from_str(tokenizer)
         self.plain.normalizer = None
-        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.full.get_vocab()
         self.width = 2 if max(vocab.values(), default=0) < 1 << 16 and end_id < 1 << 16 else 4
         self.ends = np.zeros(max(vocab.values(), default=0) + 1, bool)
         for token, i in vocab.items():
             self.ends[i] = token.endswith("</w>")
-        self.letters = all(f"{c}</w>" in vocab and c in vocab for c in "abcdefghijklmnopqrstuvwxyz")
         self.end_id = end_id
-        self._forget()
-
-    def _forget(self) -> None:
-        self.place: dict[str, int] = {"": 0}
-        self.ids: list[np.ndarray] = [np.zeros(0, np.uint32)]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, each with the end id, and where each text's begin."""
-        if len(self.place) > REMEMBERED:
-            self._forget()
         flat = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
         if isinstance(flat, pa.ChunkedArray):
             flat = flat.combine_chunks()
         words = flat.flatten().dictionary_encode()
-        names = words.dictionary.to_pylist()
-        self._learn([w for w in names if w not in self.place])
-        table = [self.ids[self.place[w]] for w in names] + [np.asarray([self.end_id], np.uint32)]
-        size = np.asarray([len(t) for t in table])
-        pool, begin = np.concatenate(table), np.concatenate([[0], np.cumsum(size)])
-        bounds = flat.offsets.to_numpy() - flat.offsets[0].as_py()
-        which = np.insert(words.indices.to_numpy(zero_copy_only=False), bounds[1:], len(names))
-        sizes = size[which]
-        upto = np.concatenate([[0], np.cumsum(sizes)])
-        ids = pool[np.repeat(begin[which] - upto[:-1], sizes) + np.arange(upto[-1])]
-        return ids, upto[bounds + np.arange(len(bounds))]
-
-    def _learn(self, words: list[str]) -> None:
-        parts: dict[str, tuple[str, str]] = {}
-        for w in words:
-            base = w.rstrip(".,")
-            tail = w[len(base):]
-            if not base or not base[-1].isascii() or not base[-1].isalpha():
-                base, tail = w, ""
-            if base.isascii() and base.isalpha():
-                base = base.lower()
-            parts[w] = base, tail
-        new = dict.fromkeys(x for pair in parts.values() for x in pair if x not in self.place)
-        plain = [w for w in new if self.letters and w.isascii() and w.isalpha() and w.islower()]
-        chunks = [plain[i:i + 1000] for i in range(0, len(plain), 1000)]
-        for chunk, got in zip(chunks, self.plain.encode_batch_fast([" ".join(c) for c in chunks], add_special_tokens=False)):
-            ids = np.asarray(got.ids, np.uint32)
-            found = np.split(ids, np.flatnonzero(self.ends[ids])[:-1] + 1)
-            if len(found) != len(chunk):
-                raise ValueError("the tokenizer does not mark the ends of words")
-            for w, x in zip(chunk, found):
-                self._keep(w, x)
-        rest = [w for w in new if w not in self.place]
-        for w, got in zip(rest, self.full.encode_batch_fast(rest, add_special_tokens=False)):
-            self._keep(w, np.asarray(got.ids, np.uint32))
-        for w, (base, tail) in parts.items():
-            if w not in self.place:
-                a, b = self.ids[self.place[base]], self.ids[self.place[tail]]
-                self._keep(w, np.concatenate([a, b]) if len(b) else a)
-
-    def _keep(self, word: str, ids: np.ndarray) -> None:
-        self.place[word] = len(self.ids)
-        self.ids.append(ids)
+        bounds = flat.offsets.to_numpy().astype(np.int64) - flat.offsets[0].as_py()
+        which = words.indices.to_numpy(zero_copy_only=False)
+        pool, begin = self._words(words.dictionary)
+        size = np.append(np.diff(begin), 1)
+        pool, begin = np.append(pool, np.uint32(self.end_id)), begin  # the end id is one word more
+        out, total = [], [0]
+        for i in range(0, len(texts), 500):
+            j = min(len(texts), i + 500)
+            part = np.insert(which[bounds[i]:bounds[j]], bounds[i + 1:j + 1] - bounds[i], len(size) - 1)
+            out.append(_ragged(pool, begin[part], size[part]).astype(np.uint16 if self.width == 2 else np.uint32))
+            upto = np.cumsum(size[part])
+            total += (total[-1] + upto[bounds[i + 1:j + 1] - bounds[i] + np.arange(j - i)]).tolist()
+        return np.concatenate(out) if out else np.zeros(0, np.uint32), np.asarray(total)
+
+    def _words(self, names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words end to end, and where each word's begin."""
+        base = pc.utf8_rtrim(names, ".,")
+        plain = pc.match_substring_regex(base, f"^[A-Za-z{_LATIN}]+$")
+        # only words of plain letters are lower-cased and parted from the marks after them here
+        keys = pc.if_else(plain, pc.utf8_lower(base), names).dictionary_encode()
+        tails = pc.if_else(plain, pc.replace_substring_regex(names, "(?s)^.*[^.,]", ""), "").dictionary_encode()
+        pools, begins, places, done = [], [], [], 0
+        for part in (keys, tails):
+            ids, size = self._distinct(part.dictionary)
+            pools.append(ids)
+            begins.append(done + np.cumsum(size) - size)
+            places.append((part.indices.to_numpy(zero_copy_only=False), size))
+            done += len(ids)
+        (key, key_size), (tail, tail_size) = places
+        sizes = np.stack([key_size[key], tail_size[tail]], 1)
+        starts = np.stack([begins[0][key], begins[1][tail]], 1)
+        pool = _ragged(np.concatenate(pools), starts.ravel(), sizes.ravel())
+        return pool, np.concatenate([[0], np.cumsum(sizes.sum(1))])
+
+    def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        letters = pc.match_substring_regex(words, f"^[a-z{_LATIN_LOWER}]+$").to_numpy(zero_copy_only=False)
+        plain = words.filter(pa.array(letters)).to_pylist()
+        got = self.plain.encode_batch_fast([" ".join(plain[i:i + 1000]) for i in range(0, len(plain), 1000)], add_special_tokens=False)
+        ids = np.concatenate([np.asarray(e.ids, np.uint32) for e in got] or [np.zeros(0, np.uint32)])
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(plain):
+            raise ValueError("the tokenizer does not mark the ends of words")
+        rest = [e.ids for e in self.full.encode_batch_fast(words.filter(pa.array(~letters)).to_pylist(), add_special_tokens=False)]
+        other = np.fromiter((x for r in rest for x in r), np.uint32)
+        size = np.zeros(len(words), np.int64)
+        size[letters] = np.diff(np.concatenate([[0], cuts]))
+        size[~letters] = [len(r) for r in rest]
+        start = np.zeros(len(words), np.int64)
+        start[letters] = np.concatenate([[0], cuts])[:-1]
+        start[~letters] = len(ids) + np.cumsum(size[~letters]) - size[~letters]
+        return _ragged(np.concatenate([ids, other]), start, size), size
+
+
+def _ragged(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Runs of ``pool``, one after the other."""
+    upto = np.cumsum(size)
+    return pool[np.repeat(start - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)]
 
 
 def _hash(keys: np.ndarray, seed: int) -> np.ndarray:
@@ -222,7 +234,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
             data = shard_bytes(*(np.concatenate(x) for x in zip(*held)), part, number, encoder.width)
             return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["shard"])
         for batch in batches:
-            for piece in runs(batch, "text", limit):
+            for piece in runs(batch, "text", WORDS_FROM):
                 ids, begin = encoder.encode(piece.column("text"))
                 key = piece.column("doc_id")
                 held.append((ids, np.diff(begin), pc.fill_null(key, 0).to_numpy(zero_copy_only=False), key.is_null().to_numpy(zero_copy_only=False)))
