@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from trackspark.session import fresh_path
 
 #: Rows of an Arrow batch are worked on in runs of at most so many bytes of text (or one row).
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 20
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
