@@ -12,6 +12,9 @@ import __spark_entry__ as registered  # noqa: E402
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="test tables are not here")
 
+#: Queries over texts and vectors have tests of their own, as some cannot be SQL.
+NAMES = [name for name in registered.queries() if name not in registered._text_parts()[0]]
+
 
 @pytest.fixture(scope="module")
 def duck():
@@ -27,10 +30,10 @@ def comparable(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert registered.queries().keys() == registered.oracle_sql().keys()
+    assert set(NAMES) <= registered.oracle_sql().keys() <= registered.queries().keys()
 
 
-@pytest.mark.parametrize("name", registered.queries())
+@pytest.mark.parametrize("name", NAMES)
 def test_query_equals_sql(spark, duck, name):
     df = registered.queries()[name](spark, str(DATA))
     expected = duck.execute(registered.oracle_sql()[name])
