@@ -35,9 +35,8 @@ cloudpickle.register_pickle_by_value(trackspark)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
-# Splits every trajectory of more than three steps, to run the path for hot trajectories on
-# whole tables that have none.
-SPLIT_ALL = HotLimits(rows=3, groups=1_000_000_000, slices=64, small_bytes=0)
+# of a table with a hot trajectory, groups above this share of all rows are split
+SPLIT_SHARE = 50
 
 ORDER_BINS = [float("-inf"), 1000.0, 50_000.0, 150_000.0, float("inf")]
 ORDER_NAMES = ["<1000", "1000-50000", "50000-150000", ">=150000"]
@@ -53,6 +52,14 @@ def _steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return steps_from_events(_table(spark, sf_dir, "events"))
 
 
+def _hot_steps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, HotLimits]:
+    """The steps of every third user as one trajectory, those of each other user as one, and limits that split the first."""
+    user = F.col("UserId")
+    hot = _steps(spark, sf_dir).withColumns({
+        "UserId": F.when(user.cast("bigint") % 3 == 0, F.lit("hot")).otherwise(user), "TrajectoryID": F.lit("all")})
+    return hot, HotLimits(rows=max(1, hot.count() // SPLIT_SHARE))
+
+
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_modes(raw_labels_from_events(_table(spark, sf_dir, "events")))
 
@@ -68,8 +75,8 @@ def _step_fields(df: DataFrame) -> DataFrame:
     return df.select(*TRAJECTORY, "Latitude", "Longitude", "Altitude", seconds, *label)
 
 
-def _step_distance(spark: SparkSession, d: str, limits: HotLimits | None = None) -> DataFrame:
-    measured = calculate_distance(_steps(spark, d), limits=limits)
+def _step_distance(steps: DataFrame, limits: HotLimits | None = None) -> DataFrame:
+    measured = calculate_distance(steps, limits=limits)
     return _rounded(measured, "Distance").select(
         "event_id", *TRAJECTORY, "PrevLatitude", "PrevLongitude", "Distance")
 
@@ -84,8 +91,8 @@ def _net_hours(spark: SparkSession, d: str, mode: str) -> DataFrame:
     return _rounded(analyses.trajectory_net_hours(_steps(spark, d), mode), "StepTimestampDiff")
 
 
-def _summary(spark: SparkSession, d: str, limits: HotLimits | None = None) -> DataFrame:
-    return _rounded(analyses.trajectory_summary(_steps(spark, d), limits=limits), "TotalDistance", "StepTimestampDiff")
+def _summary(steps: DataFrame, limits: HotLimits | None = None) -> DataFrame:
+    return _rounded(analyses.trajectory_summary(steps, limits=limits), "TotalDistance", "StepTimestampDiff")
 
 
 def _label_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -188,15 +195,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "time_net_dist_kmh": lambda s, d: analyses.net_time_distribution(_steps(s, d), "km_per_hour"),
         "label_counts": _label_counts,
         "parse_tracks": lambda s, d: _step_fields(parse_track_text(track_texts(_steps(s, d)))),
-        "step_distance": _step_distance,
-        "step_distance_split": lambda s, d: _step_distance(s, d, SPLIT_ALL),
+        "step_distance": lambda s, d: _step_distance(_steps(s, d)),
+        "step_distance_split": lambda s, d: _step_distance(*_hot_steps(s, d)),
         "step_hours": _step_hours,
         "trajectory_length": lambda s, d: _rounded(analyses.trajectory_length(_steps(s, d)), "TotalDistance"),
         "trajectory_gross_hours": lambda s, d: analyses.trajectory_gross_hours(_steps(s, d)),
         "trajectory_net_hours_ref": lambda s, d: _net_hours(s, d, "hours_per_km"),
         "trajectory_net_hours_kmh": lambda s, d: _net_hours(s, d, "km_per_hour"),
-        "trajectory_summary": _summary,
-        "trajectory_summary_split": lambda s, d: _summary(s, d, SPLIT_ALL),
+        "trajectory_summary": lambda s, d: _summary(_steps(s, d)),
+        "trajectory_summary_split": lambda s, d: _summary(*_hot_steps(s, d)),
         "stop_share": lambda s, d: analyses.stop_share(_steps(s, d)),
         "stop_share_kmh": lambda s, d: analyses.stop_share(_steps(s, d), "km_per_hour"),
         "bucket_order_price": _bucket_order_price,
@@ -249,7 +256,7 @@ _LABELS = """
 i as (select cast(user_id as varchar) as UserId, ts as StartTime, ts + interval 6 hours as EndTime,
              (['walk', 'bike', 'bus', 'car', 'subway', 'train', 'airplane', 'boat', 'run', 'motorcycle', 'taxi',
                'hover', '7'])[event_id % 13 + 1] as Mode
-      from events where event_type = 'signup'),
+      from events),
 b as (select UserId, StartTime, EndTime, cast(coalesce(
              nullif(list_position(['walk', 'bike', 'bus', 'car', 'subway', 'train', 'airplane', 'boat', 'run',
                                    'motorcycle', 'taxi'], Mode), 0),
@@ -288,9 +295,12 @@ def oracle_sql() -> dict[str, str]:
                        "TimeCat", "TimeNetDistribution") for mode in ("hours_per_km", "km_per_hour")}
     net_hours = {mode: f"""with {_MEASURES}, g as ({_NET.format(mode=mode)})
         select UserId, TrajectoryID, round(StepTimestampDiff, 6) as StepTimestampDiff from g""" for mode in net}
-    step_distance = f"""with {_MEASURES} select event_id, UserId, TrajectoryID, PrevLatitude, PrevLongitude,
+    hot_measures = _MEASURES.replace(
+        "cast(user_id as varchar) as UserId, strftime(ts, '%Y%m%d') as TrajectoryID",
+        "case when user_id % 3 = 0 then 'hot' else cast(user_id as varchar) end as UserId, 'all' as TrajectoryID")
+    step_distance = f"""with {{}} select event_id, UserId, TrajectoryID, PrevLatitude, PrevLongitude,
         round(Distance, 6) as Distance from s"""
-    summary = f"""with {_MEASURES} select UserId, TrajectoryID, round(sum(Distance), 6) as TotalDistance,
+    summary = f"""with {{}} select UserId, TrajectoryID, round(sum(Distance), 6) as TotalDistance,
         (floor(epoch(max(StepTimestamp))) - floor(epoch(min(StepTimestamp)))) / 60 / 60 as TimeDiffHours,
         round(sum(elapsed) filter (where hours_per_km >= 0.05), 6) as StepTimestampDiff from s group by 1, 2"""
     reports = " union all ".join(
@@ -307,8 +317,8 @@ def oracle_sql() -> dict[str, str]:
         "time_net_dist_kmh": net["km_per_hour"],
         "label_counts": f'with {_STEPS}, {_LABELS}, {_JOINED} select Label, count(*) as "Steps" from j group by 1',
         "parse_tracks": parsed,
-        "step_distance": step_distance,
-        "step_distance_split": step_distance,
+        "step_distance": step_distance.format(_MEASURES),
+        "step_distance_split": step_distance.format(hot_measures),
         "step_hours": f"""with {_MEASURES} select event_id, round(coalesce(elapsed, 0), 6) as StepTimestampDiff,
             round(hours_per_km, 6) as Speed,
             case when hours_per_km < 0.05 then 'stop' else 'not-stop' end as SpeedCat from s""",
@@ -317,8 +327,8 @@ def oracle_sql() -> dict[str, str]:
         "trajectory_gross_hours": f"with {_STEPS} {_GROSS}",
         "trajectory_net_hours_ref": net_hours["hours_per_km"],
         "trajectory_net_hours_kmh": net_hours["km_per_hour"],
-        "trajectory_summary": summary,
-        "trajectory_summary_split": summary,
+        "trajectory_summary": summary.format(_MEASURES),
+        "trajectory_summary_split": summary.format(hot_measures),
         "stop_share": _stop_share_sql("hours_per_km"),
         "stop_share_kmh": _stop_share_sql("km_per_hour"),
         "bucket_order_price": _dist(

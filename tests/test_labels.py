@@ -8,7 +8,7 @@ import pytest
 from tests.conftest import GOLDEN, LABELS, at, label_text, write
 from trackspark.operators.intervals import attach_labels, first_label_wins, label_bin_seconds, map_modes
 from trackspark.schemas import MODES
-from trackspark.sources import LABELS_EXCEPTION, EmptyLabelsError, read_labels
+from trackspark.sources import EmptyLabelsError, read_labels
 
 INTERVAL_DDL = "UserId string, StartTime timestamp, EndTime timestamp, Mode string"
 START = datetime(2020, 1, 1)
@@ -119,14 +119,25 @@ def test_no_label_file_at_all(spark, tmp_path):
     assert got.columns == ["UserId", "StartTime", "EndTime", "Label"] and got.count() == 0
 
 
-@pytest.mark.parametrize("text", ["sdjflskjflskjflskd\r\n\r\n", "Start Time\tEnd Time\tTransportation Mode", ""])
+@pytest.mark.parametrize("text", ["no labels here\r\n\r\n", "Start Time\tEnd Time\tTransportation Mode", ""])
 def test_label_file_without_rows(spark, tree, text):
     write(tree / "Data" / "a+b %1" / "labels.txt", text)
-    with pytest.raises(EmptyLabelsError, match=LABELS_EXCEPTION):
+    with pytest.raises(EmptyLabelsError, match="1 of 2 label files have no rows"):
         read_labels(spark, str(tree))
     assert read_labels(spark, str(tree), check=False).count() == 2
 
 
+def test_bad_label_lines(spark, tree):
+    good, bad = label_text(LABELS[:1]), "2007-04-29 08:00:00\t2007/04/29 09:00:00\tbus\r\n"
+    write(tree / "Data" / "001" / "labels.txt", good + bad + "2007/04/30 08:00:00\t2007/04/30 09:00:00\tbus\r\n")
+    with pytest.raises(Exception, match="bad label line in .*001/labels.txt: 2007-04-29 08:00:00"):
+        read_labels(spark, str(tree)).collect()
+    kept = read_labels(spark, str(tree), mode="DROPMALFORMED").where("UserId = '001'")
+    assert sorted(r.Label for r in kept.collect()) == [1, 3]
+    with pytest.raises(ValueError):
+        read_labels(spark, str(tree), mode="PERMISSIVE")
+
+
 def test_label_users_with_special_names(spark, tmp_path):
     for user in ("u+2", "a%b", "_x", "with space", ".hidden"):
         write(tmp_path / "Data" / user / "labels.txt", label_text(LABELS[:1]))

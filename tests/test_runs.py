@@ -57,6 +57,9 @@ def test_ingest_without_any_labels(spark, tmp_path):
 def test_ingest_failures(spark, tree, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         runs.ingest(spark, str(tmp_path / "nothing"), str(tmp_path / "out"))
+    write(tmp_path / "empty" / "Data" / "001" / "Trajectory" / "notes.txt", "no track")
+    with pytest.raises(FileNotFoundError, match="no track file"):
+        runs.ingest(spark, str(tmp_path / "empty"), str(tmp_path / "out"))
     write(tree / "Data" / "bad" / "labels.txt", "junk\r\n\r\n")
     with pytest.raises(EmptyLabelsError):
         runs.ingest(spark, str(tree), str(tmp_path / "out"))
@@ -69,7 +72,7 @@ def test_reports_on_disk(spark, tree, tmp_path):
     assert sorted(paths) == ["geo_table", "length", "time_gross", "time_net"]
     assert paths["time_net"] == f"{out}/time_net_17.parquet"
     single = {
-        "length": runs.analyse_length_dist(spark, out, run_id=18, limits=HotLimits(rows=2, small_bytes=0)),
+        "length": runs.analyse_length_dist(spark, out, run_id=18, limits=HotLimits(rows=2)),
         "time_gross": runs.analyse_time_gross_dist(spark, out, run_id=18),
         "time_net": runs.analyse_time_net_dist(spark, out, run_id=18),
     }
@@ -120,6 +123,17 @@ def test_incremental_ingest_in_bounded_batches(spark, tree, tmp_path):
     assert len([p for p in (out / "_spark_metadata").iterdir() if p.name.isdigit()]) == 2
 
 
+def test_run_with_a_checkpoint_can_be_repeated(spark, tree, tmp_path):
+    out, state, archive = (str(tmp_path / n) for n in ("out", "state", "archive"))
+    paths = [runs.run_all(spark, str(tree), out, run_id=i, checkpoint=state, archive=archive) for i in (1, 2)]
+    assert labelled(read_geo_table(spark, out)) == GOLDEN_LABELLED
+    for name in ("length", "time_gross", "time_net"):
+        first, second = ({tuple(r) for r in spark.read.parquet(p[name]).collect()} for p in paths)
+        assert first == second
+    with pytest.raises(ValueError, match="checkpoint"):
+        runs.run_all(spark, str(tree), out, archive=archive)
+
+
 def test_incremental_table_is_kept_apart(spark, tree, tmp_path):
     path = runs.ingest(spark, str(tree), str(tmp_path / "out"))
     with pytest.raises(ValueError, match="path of its own"):

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from tests.conftest import GOLDEN, at
 from trackspark.operators import HotLimits, calculate_distance, classify_stops, step_measures
-from trackspark.operators.previous import estimated_bytes
+from trackspark.operators import previous
 from trackspark.plans import analyses
 
-SPLIT = HotLimits(rows=20, groups=1_000_000, slices=16, small_bytes=0, copies_per_row=3)
+SPLIT = HotLimits(rows=20)
 STEP_DDL = "UserId string, TrajectoryID string, Latitude double, Longitude double, StepTimestamp timestamp"
 
 
@@ -19,7 +19,7 @@ def near(x):
     return pytest.approx(x, abs=1e-9)
 
 
-@pytest.mark.parametrize("limits", [None, HotLimits(rows=1, groups=100, slices=4, small_bytes=0)])
+@pytest.mark.parametrize("limits", [None, HotLimits(rows=1)])
 def test_golden_distances(steps, limits):
     # the trajectory column is spelled differently on purpose
     got = calculate_distance(steps, ["UserId", "TrajectoryId"], "StepTimestamp", limits=limits)
@@ -58,7 +58,7 @@ def test_null_position_of_the_previous_step(stored):
     t = at("2020-01-01 00:00:00")
     rows = [("u", "a", None, 1.0, t), ("u", "a", 2.0, 1.0, t + timedelta(hours=1))]
     df = stored(rows, STEP_DDL)
-    for limits in (None, HotLimits(rows=1, groups=10, slices=4, small_bytes=0)):
+    for limits in (None, HotLimits(rows=1)):
         r = step_measures(df, limits=limits).orderBy("StepTimestamp").collect()[1]
         assert (r.PrevLatitude, r.PrevLongitude, r.Distance, r.StepTimestampDiff) == (None, 1.0, 0.0, 1.0)
 
@@ -157,25 +157,27 @@ def test_split_trajectories_give_the_same_reports(stored):
         assert shares[0] == shares[1]
 
 
-def test_hot_trajectory_is_cut_into_even_slices(spark):
-    from trackspark.functions.timing import micros
-    from trackspark.operators import previous as p
-
-    df = (spark.range(10_000).select(
-        F.lit("u").alias("UserId"), F.lit("t").alias("TrajectoryID"),
-        F.timestamp_micros(F.pow(F.col("id"), 2).cast("bigint") * 1000).alias("StepTimestamp")))
-    limits = HotLimits(rows=1000, groups=1_000_000, slices=64, small_bytes=0)
-    keys = ("UserId", "TrajectoryID")
-    timed = df.withColumn("_time", micros(F.col("StepTimestamp")))
-    hot = p._hot_groups(timed, keys, limits)
-    assert [tuple(r) for r in hot.collect()] == [("u", "t", 10)]
-    cuts = p._cut_points(timed, hot, keys, limits)
-    sizes = (p._match(timed, cuts, keys, "inner").groupBy(p._slice_of(F.col("_time"), F.col("_cuts"), 64).alias("s"))
-             .count().collect())
-    assert sorted(r.s for r in sizes) == list(range(10))
-    # at most 7 of 64 quantile steps, each end off by one in 640 of the ranks
-    assert max(r["count"] for r in sizes) <= 10_000 * (7 / 64 + 2 / 640)
-
-
-def test_size_estimate(spark):
-    assert estimated_bytes(spark.range(1000)) == 8000
+@pytest.mark.parametrize("time", ["timestamp_millis(id * id)", "timestamp_seconds(86400 * (id % 3))", "cast(null as timestamp)"])
+@pytest.mark.parametrize("position", ["cast(id as double)", "39.5D"])
+def test_hot_trajectory_is_cut_into_even_slices(spark, time, position):
+    """Also where times are crowded or missing, and where steps are equal in everything."""
+    df = spark.range(20_000).selectExpr(
+        "if(id % 10 = 0, 'cold', 'hot') as UserId", "if(id % 10 = 0, cast(id % 70 as string), 't') as TrajectoryID",
+        f"{position} as Latitude", "116D as Longitude", f"{time} as StepTimestamp")
+    limits, keys = HotLimits(rows=1000), ["UserId", "TrajectoryID"]
+    assert [tuple(r) for r in previous.hot_groups(df, keys, limits).collect()] == [("hot", "t", 18_000)]
+    slices = previous.cut(df.where("UserId = 'hot'"), keys, ["StepTimestamp", "Latitude", "Longitude"], 36)
+    sizes = [r["count"] for r in slices.groupBy("_slice").count().collect()]
+    assert sum(sizes) == 18_000 and max(sizes) <= 2 * limits.rows
+    measures = ("UserId", "TrajectoryID", "Latitude", "StepTimestamp", "PrevLatitude", "StepTimestampDiff")
+    plain, split = (sorted(map(repr, step_measures(df, limits=x).select(*measures).collect())) for x in (None, limits))
+    assert plain == split
+
+
+def test_small_files_of_many_rows_are_split_too(spark, tmp_path):
+    path = str(tmp_path / "resting")
+    spark.range(100_000).selectExpr("'u' as UserId", "'t' as TrajectoryID", "1D as Latitude", "2D as Longitude",
+                                    "timestamp_seconds(0) as StepTimestamp").coalesce(1).write.parquet(path)
+    got = step_measures(spark.read.parquet(path), limits=HotLimits(rows=20_000))
+    assert "_slice" in got._jdf.queryExecution().executedPlan().toString()
+    assert got.where("PrevLatitude is null").count() == 1 and got.count() == 100_000

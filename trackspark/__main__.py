@@ -21,7 +21,9 @@ def parser() -> argparse.ArgumentParser:
     for sub in (load, increment, everything):
         sub.add_argument("--input_folder", required=True)
     increment.add_argument("--checkpoint", required=True)
-    increment.add_argument("--archive")
+    everything.add_argument("--checkpoint", help="ingest only what no run with this checkpoint has ingested")
+    for sub in (increment, everything):
+        sub.add_argument("--archive", help="where to move consumed files")
 
     reports = [commands.add_parser(name, help=f"write the {name} report") for name in ("length", "time-gross", "time-net")]
     for sub in (load, increment, everything):
@@ -47,7 +49,7 @@ def main(argv: list[str] | None = None) -> None:
         ingest_incremental(spark, args.input_folder, f"{args.output_folder}/{args.table}", args.checkpoint, args.archive)
     elif args.command == "all":
         print(runs.run_all(spark, args.input_folder, args.output_folder, args.table, args.run_id, args.format,
-                           args.speed_mode))
+                           args.speed_mode, args.checkpoint, args.archive))
     else:
         how = {"table": args.table, "run_id": args.run_id, "fmt": args.format}
         if args.command == "length":

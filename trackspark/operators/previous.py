@@ -1,138 +1,80 @@
 """The previous row of a group, also when one group holds a large part of all rows.
 
-``lag`` over a window partitioned by the group keys puts a whole group into one task. That
-is the best plan while every group fits a task, and the only plan used for input that is
-small anyway. For larger input the groups above a limit are found by a map-side combined
-count and taken apart by time:
-
-* a hot group is cut at time quantiles into slices of about equal row counts, so the window
-  shuffles on (group, slice);
-* a time that fills a slice on its own shows as a repeated quantile. Exact copies of a row at
-  such a time are collapsed to one row with a count before they are shuffled, because no cut
-  can separate them;
-* the first row of a slice takes its predecessor from the last row of the slice before,
-  through a table of slice ends with one row per slice.
-
-All other groups keep the plain window. Nothing is dropped or approximated: the quantiles
-only decide where to cut.
+``lag`` over a window partitioned by the group keys puts a whole group into one task. That is
+the best plan while every group fits a task. Groups of more rows than that are found by a
+map-side combined count, whatever the size of the input, and are taken apart:
+
+* their rows are range-partitioned on (group, order), so a group of any size becomes slices of
+  about equal row counts. The order ends with a number of its own for every row, so rows at one
+  time, without a time or equal in everything are cut like any others;
+* the slices are written down, because the bounds come from a sample and rows must be cut the
+  same way wherever they are used;
+* the window runs per (group, slice), and the first row of a slice takes its predecessor from
+  the last row of the slice before, through a table with one row per slice.
+
+All other groups keep the plain window. Nothing is dropped or approximated: the sample only
+decides where to cut.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackspark.functions.timing import micros
-from trackspark.session import ensure_checkpoint_dir
+from trackspark.session import fresh_path
 
 PREVIOUS = "_previous"
-COPIES = "_copies"
 _SLICE = "_slice"
-_CUTS = "_cuts"
-_PIECES = "_pieces"
-_TIME = "_time"
-# what a missing time is ordered as: before every time there is
-_NO_TIME = -(1 << 63)
+_TIE = "_tie"
 
 
 @dataclass(frozen=True)
 class HotLimits:
-    """When a group is taken apart.
-
-    rows: a group up to this size is never split.
-    groups: the limit rises to total rows / groups for very large input. So at most this many
-        groups can be above it, and they have at most twice as many slices: that is the bound
-        on the two tables that are broadcast.
-    slices: most slices one group is cut into.
-    small_bytes: input estimated below this is not examined, no group of it can be too large.
-    copies_per_row: most copies one task writes out from one collapsed row.
-    """
+    """When a group is taken apart: ``rows`` is the most rows that stay together."""
 
     rows: int = 4_000_000
-    groups: int = 50_000
-    slices: int = 4096
-    small_bytes: int = 256 << 20
-    copies_per_row: int = 1_000_000
-
-
-@dataclass(frozen=True)
-class Branch:
-    """Rows with their previous row as the struct ``PREVIOUS``, NULL on the first row.
-
-    The groups of two branches are disjoint. With ``collapsed`` a row stands for ``COPIES``
-    equal rows, of which only the first follows ``PREVIOUS`` and the others follow themselves.
-    """
-
-    df: DataFrame
-    collapsed: bool
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Spark's own size estimate of the plan, or None where the session does not expose it."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:
-        return None
 
 
-def previous_branches(df: DataFrame, keys: Sequence[str], order_by: str, carry: Sequence[str],
-                      tiebreak: Sequence[str] = (), limits: HotLimits | None = None) -> list[Branch]:
-    """Attach to every row the ``carry`` columns of its predecessor in its group.
+def with_previous(df: DataFrame, keys: Sequence[str], order_by: str, carry: Sequence[str],
+                  tiebreak: Sequence[str] = (), limits: HotLimits | None = None) -> DataFrame:
+    """Attach to every row the ``carry`` columns of its predecessor in its group as ``PREVIOUS``.
 
-    ``order_by`` has to be a time column; equal times are ordered by ``tiebreak``. For input that
-    is not small, the search for hot groups runs when this is called.
+    The first row of a group has NULL. Rows without ``order_by`` come first, equal ones are
+    ordered by ``tiebreak``. The count that finds hot groups runs when this is called, and if
+    there are any their slices are written to the shared folder; the rest is lazy.
     """
     limits = limits or HotLimits()
     spelled = {c.lower(): c for c in df.columns}
     keys = [k if k in df.columns else spelled.get(k.lower(), k) for k in keys]
-    timed = df.withColumn(_TIME, F.coalesce(micros(F.col(order_by)), F.lit(_NO_TIME)))
-    ordering = [_TIME, *tiebreak]
-    size = estimated_bytes(df)
-    if size is not None and size <= limits.small_bytes:
-        return [Branch(_lag(timed, keys, ordering, carry).drop(_TIME), False)]
-
-    # Quantiles may come out differently when they are computed again, and rows must be cut the
-    # same way wherever they are used. So the small table of cuts is written down first.
-    ensure_checkpoint_dir(df.sparkSession)
-    cuts = _cut_points(timed, _hot_groups(df, keys, limits), keys, limits).checkpoint()
-    if cuts.isEmpty():
-        return [Branch(_lag(timed, keys, ordering, carry).drop(_TIME), False)]
-
-    cold_rows = _match(timed, cuts.select(*keys), keys, "left_anti")
-    cold = _lag(cold_rows, keys, ordering, carry).drop(_TIME)
-    sliced = (_match(timed, cuts, keys, "inner")
-              .withColumn(_SLICE, _slice_of(F.col(_TIME), F.col(_CUTS), limits.slices))
-              .drop(_CUTS))
-    # both users of these rows are to read the same shuffle
-    rows = _collapse_copies(sliced, _crowded_times(cuts, keys), keys).repartition(*keys, _SLICE)
-    within = _lag(rows, [*keys, _SLICE], ordering, carry)
-    ends = _slice_ends(rows, keys, ordering, carry)
-    stitched = (_match(within, ends, [*keys, _SLICE], "left")
-                .withColumn(PREVIOUS, F.coalesce(PREVIOUS, "_before"))
-                .drop("_before", _SLICE, _TIME))
-    return [Branch(cold, False), Branch(stitched, True)]
+    ordering = [order_by, *tiebreak]
+    hot = hot_groups(df, keys, limits)
+    hot_rows = hot.agg(F.sum("_n")).first()[0]
+    if hot_rows is None:
+        return _lag(df, keys, ordering, carry)
+    hot = hot.drop("_n")
+    cold = _lag(_match(df, hot, keys, "left_anti"), keys, ordering, carry)
+    # slices of half the limit, as the bounds are estimates
+    sliced = cut(_match(df, hot, keys, "left_semi"), keys, ordering, math.ceil(2 * hot_rows / limits.rows))
+    return cold.unionByName(_lag_over_slices(sliced, keys, [*ordering, _TIE], carry))
 
 
-def with_previous(df: DataFrame, keys: Sequence[str], order_by: str, carry: Sequence[str],
-                  tiebreak: Sequence[str] = (), limits: HotLimits | None = None) -> DataFrame:
-    """``previous_branches`` as one table with one row per input row."""
-    limits = limits or HotLimits()
-    parts = [_write_out_copies(b.df, carry, limits) if b.collapsed else b.df
-             for b in previous_branches(df, keys, order_by, carry, tiebreak, limits)]
-    return reduce(DataFrame.unionByName, parts)
+def hot_groups(df: DataFrame, keys: Sequence[str], limits: HotLimits) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limits.rows)
 
 
-def aggregate_branches(branches: Sequence[Branch], fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Apply a per-group aggregation to each branch and put the disjoint groups together.
-
-    A branch keeps the partitioning of its window, so the cold groups need no second shuffle.
-    ``fn`` must not depend on the number of equal rows, as copies are still collapsed.
-    """
-    return reduce(DataFrame.unionByName, [fn(b.df) for b in branches])
+def cut(rows: DataFrame, keys: Sequence[str], ordering: Sequence[str], slices: int) -> DataFrame:
+    """Write the rows in ``slices`` ranges of (keys, ordering) and read them with the number of the range."""
+    path = fresh_path(rows.sparkSession, "slices")
+    (rows.withColumn(_TIE, F.monotonically_increasing_id())
+     .repartitionByRange(slices, *keys, *ordering, _TIE)
+     .withColumn(_SLICE, F.spark_partition_id())
+     .write.parquet(path))
+    return rows.sparkSession.read.parquet(path)
 
 
 def _lag(df: DataFrame, keys: Sequence[str], ordering: Sequence[str], carry: Sequence[str]) -> DataFrame:
@@ -141,76 +83,20 @@ def _lag(df: DataFrame, keys: Sequence[str], ordering: Sequence[str], carry: Seq
     return df.withColumn(PREVIOUS, F.lag(F.struct(*carry)).over(window))
 
 
-def _match(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Join with a table of bounded size (see ``HotLimits.groups``); NULL keys match each other."""
-    renamed = small.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                           *[c for c in small.columns if c not in keys])
+def _lag_over_slices(sliced: DataFrame, keys: Sequence[str], ordering: Sequence[str],
+                     carry: Sequence[str]) -> DataFrame:
+    part = [*keys, _SLICE]
+    ends = sliced.groupBy(*part).agg(F.max_by(F.struct(*carry), F.struct(*ordering)).alias("_end"))
+    before = F.lag("_end").over(Window.partitionBy(*keys).orderBy(_SLICE))
+    within = _lag(sliced, part, ordering, carry)
+    return (_match(within, ends.select(*part, before.alias("_before")), part, "left")
+            .withColumn(PREVIOUS, F.coalesce(PREVIOUS, "_before"))
+            .drop("_before", _SLICE, _TIE))
+
+
+def _match(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys of which NULLs match each other; Spark chooses how by the size it finds."""
+    renamed = other.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                           *[c for c in other.columns if c not in keys])
     condition = reduce(Column.__and__, [df[k].eqNullSafe(renamed[f"_k{i}"]) for i, k in enumerate(keys)])
-    return df.join(F.broadcast(renamed), condition, how).drop(*[f"_k{i}" for i in range(len(keys))])
-
-
-def _hot_groups(df: DataFrame, keys: Sequence[str], limits: HotLimits) -> DataFrame:
-    total = df.select(F.count("*").alias("n")).scalar()
-    limit = F.greatest(F.lit(float(limits.rows)), total / limits.groups)
-    return (df.groupBy(*keys).agg(F.count("*").alias("_n"))
-            .where(F.col("_n") > limit)
-            .select(*keys, F.least(F.ceil(F.col("_n") / limit), F.lit(limits.slices)).cast("int").alias(_PIECES)))
-
-
-def _cut_points(timed: DataFrame, hot: DataFrame, keys: Sequence[str], limits: HotLimits) -> DataFrame:
-    """Per hot group the rising times at which it is cut, one fewer than its pieces."""
-    n = limits.slices
-    fractions = ", ".join(f"{i / n!r}D" for i in range(1, n))
-    quantiles = F.expr(f"percentile_approx({_TIME}, array({fractions}), {10 * n})")
-    pick = F.transform(
-        F.sequence(F.lit(1), F.col(_PIECES) - 1),
-        lambda i: F.get(F.col("_q"), F.floor(i * n / F.col(_PIECES)).cast("int") - 1),
-    )
-    return (_match(timed.select(*keys, _TIME), hot, keys, "inner")
-            .groupBy(*keys, _PIECES).agg(quantiles.alias("_q"))
-            .select(*keys, pick.alias(_CUTS)))
-
-
-def _crowded_times(cuts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The times that two or more cuts of a group fall on; as a rule there are none."""
-    at = F.col(_CUTS)
-    repeated = F.filter(at, lambda t, i: (i > 0) & (F.get(at, i - 1) == t))
-    return cuts.select(*keys, F.explode(F.array_distinct(repeated)).alias(_TIME))
-
-
-def _collapse_copies(sliced: DataFrame, crowded: DataFrame, keys: Sequence[str]) -> DataFrame:
-    calm = _match(sliced, crowded, [*keys, _TIME], "left_anti").withColumn(COPIES, F.lit(1).cast("bigint"))
-    packed = (_match(sliced, crowded, [*keys, _TIME], "inner")
-              .groupBy(*sliced.columns).agg(F.count("*").alias(COPIES)))
-    return calm.unionByName(packed)
-
-
-def _slice_of(time: Column, cuts: Column, most: int) -> Column:
-    """How many cuts are at or before a time, by binary descent."""
-    strides = [1 << b for b in reversed(range(most.bit_length()))]
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in strides]), F.lit(0),
-        lambda at, s: F.when(F.get(cuts, at + s - 1) <= time, at + s).otherwise(at),
-    )
-
-
-def _slice_ends(rows: DataFrame, keys: Sequence[str], ordering: Sequence[str], carry: Sequence[str]) -> DataFrame:
-    """Per slice, the last row of the nearest slice before it in the group."""
-    ends = rows.groupBy(*keys, _SLICE).agg(
-        F.max_by(F.struct(*carry), F.struct(*ordering)).alias("_end"))
-    return (ends.withColumn("_before", F.lag("_end").over(Window.partitionBy(*keys).orderBy(_SLICE)))
-            .drop("_end"))
-
-
-def _write_out_copies(df: DataFrame, carry: Sequence[str], limits: HotLimits) -> DataFrame:
-    """Undo the collapsing: the first copy keeps its predecessor, the others follow a copy."""
-    per_row = limits.copies_per_row
-    chunked = df.withColumn("_chunk", F.explode(F.sequence(
-        F.lit(0).cast("bigint"), F.call_function("div", F.col(COPIES) - 1, F.lit(per_row)))))
-    # a long run of copies has many chunks: spread them before they become rows again
-    spread = chunked.repartition(*[c for c in df.columns if c != PREVIOUS], "_chunk")
-    here = F.least(F.lit(per_row).cast("bigint"), F.col(COPIES) - F.col("_chunk") * per_row)
-    first = (F.col("_chunk") == 0) & (F.col("_i") == 1)
-    return (spread.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), here)))
-            .withColumn(PREVIOUS, F.when(first, F.col(PREVIOUS)).otherwise(F.struct(*carry)))
-            .drop("_chunk", "_i", COPIES))
+    return df.join(renamed, condition, how).drop(*[f"_k{i}" for i in range(len(keys))])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trackspark.functions.geo import haversine_km
 from trackspark.functions.timing import hours, micros
 from trackspark.operators.buckets import bucketize
-from trackspark.operators.previous import PREVIOUS, Branch, HotLimits, previous_branches, with_previous
+from trackspark.operators.previous import PREVIOUS, HotLimits, with_previous
 from trackspark.schemas import STOP_BINS, STOP_NAMES, TRAJECTORY
 
 POSITION = ("Latitude", "Longitude")
@@ -32,14 +32,6 @@ def step_measures(df: DataFrame, keys: Sequence[str] = TRAJECTORY, order_by: str
     return add_measures(with_previous(df, keys, order_by, carry, tiebreak, limits), order_by)
 
 
-def measured_branches(df: DataFrame, keys: Sequence[str] = TRAJECTORY, order_by: str = "StepTimestamp",
-                      tiebreak: Sequence[str] = POSITION, limits: HotLimits | None = None) -> list[Branch]:
-    """``step_measures`` kept apart by branch, for an aggregation per trajectory."""
-    carry = (*POSITION, order_by)
-    return [Branch(add_measures(b.df, order_by), b.collapsed)
-            for b in previous_branches(df, keys, order_by, carry, tiebreak, limits)]
-
-
 def _add_distance(df: DataFrame) -> DataFrame:
     lat, lon = F.col(PREVIOUS)["Latitude"], F.col(PREVIOUS)["Longitude"]
     km = haversine_km(lat, lon, F.col("Latitude"), F.col("Longitude"))

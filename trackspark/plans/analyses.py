@@ -1,4 +1,8 @@
-"""The reports over trajectories. All functions are lazy, DataFrame to DataFrame."""
+"""The reports over trajectories, DataFrame to DataFrame.
+
+What needs previous steps counts the steps per trajectory when it is called, see
+``operators.previous``; everything else is lazy.
+"""
 
 from __future__ import annotations
 
@@ -8,8 +12,8 @@ from pyspark.sql import functions as F
 from trackspark.functions.text import percent_label
 from trackspark.functions.timing import hours, whole_seconds
 from trackspark.operators.buckets import bucketize, distribution
-from trackspark.operators.previous import HotLimits, aggregate_branches
-from trackspark.operators.steps import classify_stops, measured_branches, step_measures
+from trackspark.operators.previous import HotLimits
+from trackspark.operators.steps import classify_stops, step_measures
 from trackspark.schemas import LENGTH_BINS, LENGTH_NAMES, TIME_BINS, TIME_NAMES, TRAJECTORY
 
 _MEASURED = (*TRAJECTORY, "Latitude", "Longitude", "StepTimestamp")
@@ -17,10 +21,8 @@ _MEASURED = (*TRAJECTORY, "Latitude", "Longitude", "StepTimestamp")
 
 def trajectory_length(steps: DataFrame, limits: HotLimits | None = None) -> DataFrame:
     """Kilometres per trajectory as ``TotalDistance``."""
-    return aggregate_branches(
-        measured_branches(steps.select(*_MEASURED), limits=limits),
-        lambda df: df.groupBy(*TRAJECTORY).agg(F.sum("Distance").alias("TotalDistance")),
-    )
+    measured = step_measures(steps.select(*_MEASURED), limits=limits)
+    return measured.groupBy(*TRAJECTORY).agg(F.sum("Distance").alias("TotalDistance"))
 
 
 def trajectory_gross_hours(steps: DataFrame) -> DataFrame:
@@ -38,11 +40,9 @@ def _gross_hours() -> Column:
 def trajectory_net_hours(steps: DataFrame, speed_mode: str = "hours_per_km",
                          limits: HotLimits | None = None) -> DataFrame:
     """Hours spent on steps that are not stops, per trajectory that has such steps."""
-    return aggregate_branches(
-        measured_branches(steps.select(*_MEASURED), limits=limits),
-        lambda df: (classify_stops(df, speed_mode).where(F.col("SpeedCat") == "not-stop")
-                    .groupBy(*TRAJECTORY).agg(F.sum("StepTimestampDiff").alias("StepTimestampDiff"))),
-    )
+    measured = step_measures(steps.select(*_MEASURED), limits=limits)
+    return (classify_stops(measured, speed_mode).where(F.col("SpeedCat") == "not-stop")
+            .groupBy(*TRAJECTORY).agg(F.sum("StepTimestampDiff").alias("StepTimestampDiff")))
 
 
 def trajectory_summary(steps: DataFrame, speed_mode: str = "hours_per_km",
@@ -52,17 +52,15 @@ def trajectory_summary(steps: DataFrame, speed_mode: str = "hours_per_km",
     ``StepTimestampDiff`` is NULL for a trajectory that only has stops.
     """
     moving = F.when(F.col("SpeedCat") == "not-stop", F.col("StepTimestampDiff"))
-    return aggregate_branches(
-        measured_branches(steps.select(*_MEASURED), limits=limits),
-        lambda df: classify_stops(df, speed_mode).groupBy(*TRAJECTORY).agg(
-            F.sum("Distance").alias("TotalDistance"),
-            _gross_hours().alias("TimeDiffHours"),
-            F.sum(moving).alias("StepTimestampDiff")),
-    )
+    measured = step_measures(steps.select(*_MEASURED), limits=limits)
+    return classify_stops(measured, speed_mode).groupBy(*TRAJECTORY).agg(
+        F.sum("Distance").alias("TotalDistance"),
+        _gross_hours().alias("TimeDiffHours"),
+        F.sum(moving).alias("StepTimestampDiff"))
 
 
 def stop_share(steps: DataFrame, speed_mode: str = "hours_per_km", limits: HotLimits | None = None) -> DataFrame:
-    """Steps per stop category; here every copy of a step counts, so whole steps are needed."""
+    """Steps per stop category."""
     measured = step_measures(steps.select(*_MEASURED), limits=limits)
     return distribution(classify_stops(measured, speed_mode), "SpeedCat", "StepDistribution")
 

@@ -13,10 +13,10 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackspark.schemas import LABEL_TIME_FORMAT, MODES, TRACK_TIME_FORMAT
+from trackspark.schemas import LABEL_TIME_FORMAT, MODES, TRACK_HEADER_LINES, TRACK_TIME_FORMAT
 from trackspark.sources.paths import under
 
-HEADER = "\r\n".join(["Track", "WGS 84", "Altitude is in Feet", "Reserved 3", "0,2,255,My Track,0,0,2,8421376", "0"])
+HEADER = "\r\n".join(f"header line {i}" for i in range(1, TRACK_HEADER_LINES + 1))
 LABEL_HEADER = "Start Time\tEnd Time\tTransportation Mode"
 
 
@@ -34,10 +34,10 @@ def steps_from_events(events: DataFrame) -> DataFrame:
 
 
 def raw_labels_from_events(events: DataFrame) -> DataFrame:
-    """A six-hour interval per signup, its mode text being one of all known, one unknown and a number."""
+    """A six-hour interval per event, its mode text being one of all known, one unknown and a number."""
     modes = F.array(*[F.lit(m) for m in [*MODES, "hover", "7"]])
     start = F.col("ts").cast("timestamp")
-    return events.where(F.col("event_type") == "signup").select(
+    return events.select(
         F.col("user_id").cast("string").alias("UserId"),
         start.alias("StartTime"),
         (start + F.expr("interval 6 hours")).alias("EndTime"),

@@ -28,11 +28,16 @@ def build_session(app_name: str = "trackspark", master: str | None = None, **con
 
 def size_file_listing(spark: SparkSession) -> None:
     """On a local master, list many paths in a few tasks per core; Spark's default is one per path."""
-    if spark.sparkContext.master.startswith("local"):
+    if _in_one_process(spark):
         spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism",
                        4 * spark.sparkContext.defaultParallelism)
 
 
+def _in_one_process(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
@@ -42,7 +47,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not _in_one_process(spark):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="trackspark-"))
     return spark.sparkContext.getCheckpointDir()

@@ -1,8 +1,8 @@
-from trackspark.sources.labels import LABELS_EXCEPTION, EmptyLabelsError, read_labels
+from trackspark.sources.labels import EmptyLabelsError, read_labels
 from trackspark.sources.tables import geo_table_sql, read_geo_table
 from trackspark.sources.tracks import parse_track_lines, parse_track_text, read_tracks
 
 __all__ = [
-    "LABELS_EXCEPTION", "EmptyLabelsError", "geo_table_sql", "parse_track_lines", "parse_track_text",
+    "EmptyLabelsError", "geo_table_sql", "parse_track_lines", "parse_track_text",
     "read_geo_table", "read_labels", "read_tracks",
 ]
