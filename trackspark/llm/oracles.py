@@ -85,6 +85,58 @@ select doc_id, size, source_size, target,
        cast(size * count(*) filter (where total <= (select sum(source_size) from s)) as bigint) as taken
 from m group by doc_id, size, source_size, target"""
 
+# a regular language has finitely many states, so SQL can carry the best script to each of them along the turns
+CONVERSATIONS = r"""
+with recursive crc_table as (
+  select list(c order by n) as t from (
+    select n, list_reduce(list_prepend(n, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as c
+    from (select unnest(range(256)) as n))),
+k as (select *, row_number() over () as id, hex(encode(coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '))) as h
+      from conversations),
+f as (select k.*, xor(list_reduce(list_prepend(4294967295, [('0x' || h[i:i + 1])::bigint for i in range(1, len(h), 2)]),
+             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 as fault from k, crc_table),
+d as (select conv_id, turn, case when fault = 4 then 'user' else coalesce(role, ' ') end as role,
+             case fault when 1 then '' when 2 then translate(coalesce(text, ' '), '.!?', '') else coalesce(text, ' ') end as text,
+             unnest(range(case fault when 3 then 2 else 1 end)) as copy
+      from f where fault <> 0),
+o as (select *, row_number() over w as i, lag(role[1:1]) over w as before from d
+      window w as (partition by conv_id order by turn nulls first, role, sha256(text), copy)),
+g as (select *, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as seen,
+             row_number() over (partition by conv_id, role, text order by i) > 1 as again from o),
+c as (select *, case when seen = '' then 'blank' when again then 'duplicate' when seen[-1:] not in ('.', '!', '?') then 'truncated' end as bad from g),
+s as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+             count(*) filter (where bad = 'blank') as blank, count(*) filter (where bad = 'duplicate') as duplicate,
+             count(*) filter (where bad = 'truncated') as truncated,
+             count(*) filter (where i > 1 and before || role[1:1] not in ('su', 'ua', 'au')) as illegal, count(*) as n from c group by 1),
+-- the best script to every state of the grammar after i turns: cost, audit, repaired turns
+r as (select conv_id, 0::bigint as i, {'c': 0, 'a': '', 't': ''} as b, {'c': 1000000000, 'a': '', 't': ''} as s,
+             {'c': 1000000000, 'a': '', 't': ''} as u, {'c': 1000000000, 'a': '', 't': ''} as a from (select distinct conv_id from conversations)
+      union all
+      select r.conv_id, c.i,
+        {'c': r.b.c + 4, 'a': r.b.a || 'D', 't': r.b.t},
+        least({'c': r.s.c + 4, 'a': r.s.a || 'D', 't': r.s.t},
+              {'c': case when x and role[1:1] = 's' then r.b.c + z else 1000000000 end, 'a': r.b.a || 'K', 't': r.b.t || chr(10) || role || ':' || text}),
+        least({'c': u1.c + 4, 'a': u1.a || 'D', 't': u1.t},
+              {'c': case when x then o1.c + z + case when role[1:1] = 'u' then 0 else 3 end else 1000000000 end,
+               'a': o1.a || case when role[1:1] = 'u' then 'K' else 'R' end,
+               't': o1.t || chr(10) || case when role[1:1] = 'u' then role else 'user' end || ':' || text}),
+        least({'c': a1.c + 4, 'a': a1.a || 'D', 't': a1.t},
+              {'c': case when x then u1.c + z + case when role[1:1] = 'a' then 0 else 3 end else 1000000000 end,
+               'a': u1.a || case when role[1:1] = 'a' then 'K' else 'R' end,
+               't': u1.t || chr(10) || case when role[1:1] = 'a' then role else 'assistant' end || ':' || text})
+      from (select *, least(a, {'c': u1.c + 3, 'a': u1.a || 'I', 't': u1.t || chr(10) || 'assistant:'}) as a1,
+                   least(b, s, a, {'c': u.c + 3, 'a': u.a || 'I', 't': u.t || chr(10) || 'assistant:'}) as o1
+            from (select *, least(u, {'c': least(b, s, a).c + 3, 'a': least(b, s, a).a || 'I', 't': least(b, s, a).t || chr(10) || 'user:'}) as u1
+                  from r)) r
+      join (select *, coalesce(bad, '') not in ('blank', 'duplicate') as x, case when bad = 'truncated' then 3 else 0 end as z from c) c
+        on c.conv_id is not distinct from r.conv_id and c.i = r.i + 1),
+e as (select r.conv_id, least(b, a, {'c': u1.c + 3, 'a': u1.a || 'I', 't': u1.t || chr(10) || 'assistant:'}) as best, r.i
+      from (select *, least(u, {'c': least(b, s, a).c + 3, 'a': least(b, s, a).a || 'I', 't': least(b, s, a).t || chr(10) || 'user:'}) as u1 from r) r)
+select e.conv_id, coalesce(s.gaps, 0) as gaps, coalesce(s.blank, 0) as blank, coalesce(s.duplicate, 0) as duplicate,
+       coalesce(s.truncated, 0) as truncated, coalesce(s.illegal, 0) as illegal, cast(best.c as bigint) as cost, best.a as audit,
+       sha256(best.t[2:]) as repaired_sha256
+from e left join s on s.conv_id is not distinct from e.conv_id where e.i = coalesce(s.n, 0)"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -94,4 +146,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_top_k": TOP_K,
         "op7_lines": LINES,
         "op8_mixing": MIXING,
+        "op12_conversations": CONVERSATIONS,
     }

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackspark.llm import language, toxicity
+from trackspark.llm.conversations import damaged, repair_report
 from trackspark.llm.decontaminate import decontaminate, hit_words
 from trackspark.llm.lines import dedup_lines
 from trackspark.llm.mixing import mix_sources
 from trackspark.llm.ngram_join import ngram_join
+from trackspark.llm.simhash import simhash_groups
 from trackspark.llm.suffixes import dedup_substrings
 from trackspark.llm.tokens import read_shards, write_shards
 from trackspark.llm.topk import top_k
@@ -95,6 +97,15 @@ def op10_suffixes(spark: SparkSession, d: str) -> DataFrame:
     return dedup_substrings(table(spark, d, "documents")).drop("kept")
 
 
+def op11_simhash(spark: SparkSession, d: str) -> DataFrame:
+    return simhash_groups(table(spark, d, "documents"))
+
+
+def op12_conversations(spark: SparkSession, d: str) -> DataFrame:
+    turns = table(spark, d, "conversations")
+    return repair_report(damaged(turns), turns)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -107,4 +118,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_toxicity": op9_toxicity,
         "op10_suffixes": op10_suffixes,
+        "op11_simhash": op11_simhash,
+        "op12_conversations": op12_conversations,
     }
