@@ -137,6 +137,23 @@ select e.conv_id, coalesce(s.gaps, 0) as gaps, coalesce(s.blank, 0) as blank, co
        sha256(best.t[2:]) as repaired_sha256
 from e left join s on s.conv_id is not distinct from e.conv_id where e.i = coalesce(s.n, 0)"""
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+LEXICAL = rf"""
+with d as (select row_number() over () as row, doc_id, regexp_extract_all({_LOWER}, '{_TERM}') as w from documents),
+s as (select count(*) as docs, cast(sum(len(w)) as bigint) as total from d where len(w) > 0),
+i as (select item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) as term from (select distinct item_id, text from benchmark)),
+q as (select item_id, term, count(*) as times from i group by 1, 2),
+t as (select row, doc_id, len(w) as n, unnest(w) as term from d),
+f as (select row, doc_id, n, term, count(*) as tf from t where term in (select term from q) group by 1, 2, 3, 4),
+g as (select term, count(*) as df from f group by 1),
+v as (select row, doc_id, f.term, cast(floor(1000 * ln(cast(2 * docs + 2 as double) / cast(2 * df + 1 as double))) as bigint)
+             * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total))) as x
+      from f join g on f.term = g.term, s),
+r as (select item_id, row, doc_id, cast(sum(times * x) as bigint) as score from q join v on q.term = v.term group by 1, 2, 3)
+select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id nulls first) as int) as rank, doc_id, score
+from r where score > 0 qualify rank <= 10"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -147,4 +164,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_lines": LINES,
         "op8_mixing": MIXING,
         "op12_conversations": CONVERSATIONS,
+        "op13_lexical": LEXICAL,
     }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from trackspark.llm import language, toxicity
 from trackspark.llm.conversations import damaged, repair_report
 from trackspark.llm.decontaminate import decontaminate, hit_words
+from trackspark.llm.lexical import lexical_search
 from trackspark.llm.lines import dedup_lines
 from trackspark.llm.mixing import mix_sources
 from trackspark.llm.ngram_join import ngram_join
@@ -106,6 +107,10 @@ def op12_conversations(spark: SparkSession, d: str) -> DataFrame:
     return repair_report(damaged(turns), turns)
 
 
+def op13_lexical(spark: SparkSession, d: str) -> DataFrame:
+    return lexical_search(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -120,4 +125,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_suffixes": op10_suffixes,
         "op11_simhash": op11_simhash,
         "op12_conversations": op12_conversations,
+        "op13_lexical": op13_lexical,
     }
