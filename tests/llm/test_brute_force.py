@@ -43,13 +43,15 @@ def folder(spark, tmp_path_factory):
     vec += [(1000, None), (1001, [math.nan] + [0.1] * 5), (1002, [None] + [0.1] * 5), (1050, [math.inf] * 6), (1100, [0.0] * 6)]
     spark.createDataFrame(vec, "vec_id long, embedding array<float>").write.parquet(f"{d}/embeddings.parquet")
     spark.createDataFrame([(i, int(i % 2)) for i in range(16)], "doc_id long, toxic int").write.parquet(f"{d}/labels.parquet")
+    turns = [(1, i, "user" if i % 2 == 0 else "assistant", f"Turn {i}.") for i in range(6)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{d}/conversations.parquet")
     return d
 
 
 @pytest.fixture(scope="module")
 def empty(spark, folder, tmp_path_factory):
     d = str(tmp_path_factory.mktemp("empty"))
-    for name in ("documents", "benchmark", "pages", "embeddings", "labels"):
+    for name in ("documents", "benchmark", "pages", "embeddings", "labels", "conversations"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{d}/{name}.parquet")
     return d
 
