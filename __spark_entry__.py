@@ -105,6 +105,22 @@ def _merged_rows(spark: SparkSession, d: str, overlap: str) -> DataFrame:
         "event_id", "UserId", micros(F.col("StepTimestamp")).alias("StepMicros"), "Label")
 
 
+def _mixed_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Labels of half a minute to two years."""
+    events = _table(spark, d, "events")
+    n = F.col("event_id") % 40
+    seconds = F.when(n == 0, 63_072_000).when(n == 1, 3_456_000).when(n == 2, 259_200).when(n < 10, 21_600).otherwise(30)
+    start = F.col("ts").cast("timestamp")
+    end = F.timestamp_micros(micros(start) + seconds.cast("bigint") * 1_000_000)
+    return events.select(F.col("user_id").cast("string").alias("UserId"), start.alias("StartTime"), end.alias("EndTime"),
+                         (F.col("event_id") % 11 + 1).cast("int").alias("Label"))
+
+
+def _merged_mixed(spark: SparkSession, d: str) -> DataFrame:
+    return attach_labels(_steps(spark, d), _mixed_labels(spark, d)).groupBy("event_id").agg(
+        F.count("*").alias("n_labels"), F.sum("Label").alias("label_sum"), F.max("Label").alias("last_label"))
+
+
 def _bucket_order_price(spark: SparkSession, d: str) -> DataFrame:
     orders = _table(spark, d, "orders").select("o_totalprice")
     return distribution(bucketize(orders, ORDER_BINS, ORDER_NAMES, "o_totalprice", "PriceCat"), "PriceCat", "Orders")
@@ -212,6 +228,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mode_labels": _mode_labels,
         "merge_labels_rows": lambda s, d: _merged_rows(s, d, "all"),
         "merge_labels_first": lambda s, d: _merged_rows(s, d, "first"),
+        "merge_labels_mixed": _merged_mixed,
         "geo_table_sql": _geo_table_sql,
         "read_tracks": _read_tracks,
         "read_tracks_by_line": lambda s, d: _read_tracks(s, d, whole_file_bytes=0),
@@ -348,6 +365,13 @@ def oracle_sql() -> dict[str, str]:
         "merge_labels_first": f"""with {_STEPS}, {_LABELS}, {_JOINED}
             select event_id, UserId, StepMicros, Label from j
             qualify row_number() over (partition by event_id order by StartTime, EndTime, raw_label nulls first) = 1""",
+        "merge_labels_mixed": f"""with {_STEPS},
+            b as (select cast(user_id as varchar) as UserId, ts as StartTime, event_id % 11 + 1 as Label,
+                         ts + to_seconds(case when event_id % 40 = 0 then 63072000 when event_id % 40 = 1 then 3456000
+                              when event_id % 40 = 2 then 259200 when event_id % 40 < 10 then 21600 else 30 end) as EndTime from events)
+            select event_id, count(*) as n_labels, cast(sum(coalesce(b.Label, 0)) as bigint) as label_sum,
+                   cast(max(coalesce(b.Label, 0)) as int) as last_label
+            from t left join b on t.UserId = b.UserId and t.StepTimestamp between b.StartTime and b.EndTime group by 1""",
         "geo_table_sql": f"""with {_STEPS} select UserId as user_id, TrajectoryID as trajectory_id,
             Latitude as latitude, Longitude as longitude, epoch_us(StepTimestamp) as step_micros from t""",
         "read_tracks": parsed,

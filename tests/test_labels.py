@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from tests.conftest import GOLDEN, LABELS, at, label_text, write
-from trackspark.operators.intervals import attach_labels, first_label_wins, label_bin_seconds, map_modes
+from trackspark.operators.intervals import REACH, attach_labels, first_label_wins, interval_index, interval_probes, map_modes
 from trackspark.schemas import MODES
 from trackspark.sources import EmptyLabelsError, read_labels
 
@@ -90,15 +90,54 @@ def test_first_label_wins_is_disjoint(stored):
         assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
 
 
-def test_bin_width_bounds_the_number_of_cut_intervals(spark):
+LONG_AGO, FOR_EVER = datetime(1, 1, 2), datetime(9999, 12, 30)
+
+
+def compared(steps, labels):
+    """Pairs of a step and a label or gap that share a bin, by user."""
+    users, cut = interval_index(labels)
+    probes = interval_probes(steps, users)
+    pairs = probes.join(cut, (probes["UserId"] == cut["_user"]) & (probes["_level"] == cut["_label_level"])
+                        & (probes["_bin"] == cut["_label_bin"]))
+    return {r["UserId"]: r["count"] for r in pairs.groupBy("UserId").count().collect()}
+
+
+def test_a_label_for_ever_concerns_no_other_user(stored):
     hour = timedelta(hours=1)
-    rows = [("u", START, START + n * hour, "bus") for n in [1] * 20 + [24 * 365 * 50]]
-    labels = map_modes(spark.createDataFrame(rows, INTERVAL_DDL))
-    width = label_bin_seconds(labels)
-    assert width >= 3600
-    cut = sum((int(e.timestamp()) // width) - (int(s.timestamp()) // width) + 1 for _, s, e, _ in rows)
-    assert cut <= 3 * len(rows)
-    assert label_bin_seconds(labels.limit(0)) == 3600
+    rows = [(u, START + i * hour, START + i * hour + timedelta(minutes=30), "bus") for u in ("a", "b") for i in range(500)]
+    df = step_frame(stored, [(u, START + i * hour + timedelta(minutes=i % 50)) for u in ("a", "b", "c") for i in range(500)])
+    before = compared(df, map_modes(stored(rows, INTERVAL_DDL)))
+    after = compared(df, map_modes(stored([*rows, ("c", LONG_AGO, FOR_EVER, "car")], INTERVAL_DDL)))
+    assert before == {"a": before["a"], "b": before["a"]} and before["a"] <= 500 * 2 * (REACH + 1)
+    assert after == before | {"c": 500}
+    # even of the user's own pairs, a long label adds one for each step
+    own = compared(df, map_modes(stored([*rows, ("a", LONG_AGO, FOR_EVER, "car")], INTERVAL_DDL)))
+    assert own["b"] == before["b"] and own["a"] <= before["a"] + 500
+
+
+def test_cut_intervals_are_bounded_whatever_their_lengths(stored):
+    spans = [1, 60, 3600, 40_000, 90_000, 10 ** 6, 10 ** 8, 10 ** 10]
+    rows = [(f"u{i}", START, START + timedelta(seconds=n), "bus") for i, n in enumerate(spans)]
+    rows += [("v", START + timedelta(days=9 * i), START + timedelta(days=9 * i, hours=i), "bus") for i in range(40)]
+    rows += [("w", LONG_AGO, FOR_EVER, "car")]
+    _, cut = interval_index(map_modes(stored(rows, INTERVAL_DDL)))
+    assert cut.count() <= 2 * (REACH + 1) * len(rows)
+
+
+def test_labels_of_all_lengths_against_brute_force(stored):
+    rng = random.Random(11)
+    spans = [0, 7, 900, 6 * 3600, 3 * 86_400, 90 * 86_400, 3 * 365 * 86_400]
+    intervals = [(u, s, s + timedelta(seconds=rng.choice(spans)), rng.choice(["walk", "bus", "hover"]))
+                 for u in ("a", "b", "d") for s in (START + timedelta(seconds=rng.randrange(10 ** 7)) for _ in range(40))]
+    intervals += [("d", LONG_AGO, START, "run"), ("a", START, FOR_EVER, "boat"), (None, START, FOR_EVER, "car")]
+    rows = [(rng.choice(["a", "b", "c", "d", None]), START + timedelta(seconds=rng.randrange(-10 ** 6, 2 * 10 ** 7))) for _ in range(300)]
+    rows += [(u, x) for u, s, e, _ in intervals[:60] for x in (s, e)] + [("a", None), (None, None), ("d", None)]
+    df, expected = step_frame(stored, rows), []
+    for i, (user, ts) in enumerate(rows):
+        hits = [label_of(m) for u, s, e, m in intervals if user is not None and ts is not None and u == user and s <= ts <= e]
+        expected += [(i, x) for x in hits or [0]]
+    got = attach_labels(df, map_modes(stored(intervals, INTERVAL_DDL))).select("id", "Label").collect()
+    assert sorted(tuple(r) for r in got) == sorted(expected)
 
 
 def test_overlap_is_checked(steps, labels):
