@@ -21,6 +21,7 @@ from trackspark.operators.intervals import attach_labels, map_modes
 from trackspark.operators.previous import HotLimits
 from trackspark.operators.steps import calculate_distance, classify_stops, step_measures
 from trackspark.plans import analyses, runs
+from trackspark.plans.layout import append_bucketed
 from trackspark.plans.derived import raw_labels_from_events, steps_from_events, track_texts, write_raw_files
 from trackspark.schemas import TRAJECTORY, UNKNOWN_LABEL
 from trackspark.session import fresh_path, size_file_listing
@@ -38,6 +39,8 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 # of a table with a hot trajectory, groups above this share of all rows are split
 SPLIT_SHARE = 50
 
+BUCKETS = 16
+
 ORDER_BINS = [float("-inf"), 1000.0, 50_000.0, 150_000.0, float("inf")]
 ORDER_NAMES = ["<1000", "1000-50000", "50000-150000", ">=150000"]
 
@@ -169,18 +172,30 @@ def _ingest_stream(spark: SparkSession, d: str) -> DataFrame:
     return _step_fields(spark.read.parquet(out))
 
 
-def _stored_reports(spark: SparkSession, d: str, fmt: str) -> dict[str, DataFrame]:
+def _stored_reports(spark: SparkSession, d: str, fmt: str) -> dict[str, str]:
     folder = fresh_path(spark, "reports")
     _steps(spark, d).drop("event_id").write.parquet(f"{folder}/geo_table.parquet")
-    paths = runs.analyse_all(spark, folder, run_id=1, fmt=fmt)
-    schema = "category string, n bigint, percentage double"
-    reader = spark.read.option("header", True).schema(schema) if fmt == "csv" else spark.read
-    return {name: reader.format(fmt).load(path) for name, path in paths.items()}
+    return runs.analyse_all(spark, folder, run_id=1, fmt=fmt)
+
+
+def _bucketed_reports(spark: SparkSession, d: str) -> DataFrame:
+    """The reports from a bucketed table that was appended to once."""
+    folder = fresh_path(spark, "reports")
+    steps = _steps(spark, d).drop("event_id")
+    for part in (0, 1):
+        append_bucketed(steps.where(F.pmod(F.xxhash64(*TRAJECTORY), F.lit(2)) == part), f"{folder}/geo_table.parquet", BUCKETS)
+    return _report_rows(spark, runs.analyse_all(spark, folder, run_id=1), "parquet")
 
 
 def _stored_report_rows(spark: SparkSession, d: str, fmt: str) -> DataFrame:
-    rows = [df.toDF("category", "n", "percentage").withColumn("report", F.lit(name))
-            for name, df in _stored_reports(spark, d, fmt).items()]
+    return _report_rows(spark, _stored_reports(spark, d, fmt), fmt)
+
+
+def _report_rows(spark: SparkSession, paths: dict[str, str], fmt: str) -> DataFrame:
+    schema = "category string, n bigint, percentage double"
+    reader = spark.read.option("header", True).schema(schema) if fmt == "csv" else spark.read
+    rows = [reader.format(fmt).load(path).toDF("category", "n", "percentage").withColumn("report", F.lit(name))
+            for name, path in paths.items()]
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
@@ -220,6 +235,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "trajectory_net_hours_kmh": lambda s, d: _net_hours(s, d, "km_per_hour"),
         "trajectory_summary": lambda s, d: _summary(_steps(s, d)),
         "trajectory_summary_split": lambda s, d: _summary(*_hot_steps(s, d)),
+        "segment_summary": lambda s, d: _rounded(analyses.trajectory_totals(_steps(s, d)), "TotalDistance", "StepTimestampDiff"),
+        "segment_summary_hot": lambda s, d: _rounded(
+            analyses.trajectory_totals(_hot_steps(s, d)[0]), "TotalDistance", "StepTimestampDiff"),
         "stop_share": lambda s, d: analyses.stop_share(_steps(s, d)),
         "stop_share_kmh": lambda s, d: analyses.stop_share(_steps(s, d), "km_per_hour"),
         "bucket_order_price": _bucket_order_price,
@@ -237,6 +255,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_stream": _ingest_stream,
         "stored_reports_parquet": lambda s, d: _stored_report_rows(s, d, "parquet"),
         "stored_reports_csv": lambda s, d: _stored_report_rows(s, d, "csv"),
+        "stored_reports_bucketed": _bucketed_reports,
     } | _text_parts()[0]
 
 
@@ -346,6 +365,8 @@ def oracle_sql() -> dict[str, str]:
         "trajectory_net_hours_kmh": net_hours["km_per_hour"],
         "trajectory_summary": summary.format(_MEASURES),
         "trajectory_summary_split": summary.format(hot_measures),
+        "segment_summary": summary.format(_MEASURES),
+        "segment_summary_hot": summary.format(hot_measures),
         "stop_share": _stop_share_sql("hours_per_km"),
         "stop_share_kmh": _stop_share_sql("km_per_hour"),
         "bucket_order_price": _dist(
@@ -382,4 +403,5 @@ def oracle_sql() -> dict[str, str]:
         "ingest_stream": _FILE_LABELLED,
         "stored_reports_parquet": reports,
         "stored_reports_csv": reports,
+        "stored_reports_bucketed": reports,
     } | _text_parts()[1]

@@ -55,9 +55,9 @@ def with_previous(df: DataFrame, keys: Sequence[str], order_by: str, carry: Sequ
     hot = hot_groups(df, keys, limits)
     hot_rows = hot.agg(F.sum("_n")).first()[0]
     if hot_rows is None:
-        return _lag(df, keys, ordering, carry)
+        return lag_in_group(df, keys, ordering, carry)
     hot = hot.drop("_n")
-    cold = _lag(_match(df, hot, keys, "left_anti"), keys, ordering, carry)
+    cold = lag_in_group(_match(df, hot, keys, "left_anti"), keys, ordering, carry)
     # slices of half the limit, as the bounds are estimates
     sliced = cut(_match(df, hot, keys, "left_semi"), keys, ordering, math.ceil(2 * hot_rows / limits.rows))
     return cold.unionByName(_lag_over_slices(sliced, keys, [*ordering, _TIE], carry))
@@ -77,7 +77,8 @@ def cut(rows: DataFrame, keys: Sequence[str], ordering: Sequence[str], slices: i
     return rows.sparkSession.read.parquet(path)
 
 
-def _lag(df: DataFrame, keys: Sequence[str], ordering: Sequence[str], carry: Sequence[str]) -> DataFrame:
+def lag_in_group(df: DataFrame, keys: Sequence[str], ordering: Sequence[str], carry: Sequence[str]) -> DataFrame:
+    """The plain window: each row's predecessor in its group as one struct."""
     # one struct, because the previous row may well have NULL in a single carried column
     window = Window.partitionBy(*keys).orderBy(*ordering)
     return df.withColumn(PREVIOUS, F.lag(F.struct(*carry)).over(window))
@@ -88,7 +89,7 @@ def _lag_over_slices(sliced: DataFrame, keys: Sequence[str], ordering: Sequence[
     part = [*keys, _SLICE]
     ends = sliced.groupBy(*part).agg(F.max_by(F.struct(*carry), F.struct(*ordering)).alias("_end"))
     before = F.lag("_end").over(Window.partitionBy(*keys).orderBy(_SLICE))
-    within = _lag(sliced, part, ordering, carry)
+    within = lag_in_group(sliced, part, ordering, carry)
     return (_match(within, ends.select(*part, before.alias("_before")), part, "left")
             .withColumn(PREVIOUS, F.coalesce(PREVIOUS, "_before"))
             .drop("_before", _SLICE, _TIE))

@@ -1,7 +1,7 @@
 """The reports over trajectories, DataFrame to DataFrame.
 
-What needs previous steps counts the steps per trajectory when it is called, see
-``operators.previous``; everything else is lazy.
+Reports are lazy: they merge segments of trajectories, see ``operators.segments``. Measures with a row for each step,
+and reports called with ``limits``, count the steps per trajectory when they are called, see ``operators.previous``.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from trackspark.functions.text import percent_label
 from trackspark.functions.timing import hours, whole_seconds
 from trackspark.operators.buckets import bucketize, distribution
 from trackspark.operators.previous import HotLimits
+from trackspark.operators.segments import merge_segments, segment_measures, trajectory_segments
 from trackspark.operators.steps import classify_stops, step_measures
 from trackspark.schemas import LENGTH_BINS, LENGTH_NAMES, TIME_BINS, TIME_NAMES, TRAJECTORY
 
@@ -65,8 +66,13 @@ def stop_share(steps: DataFrame, speed_mode: str = "hours_per_km", limits: HotLi
     return distribution(classify_stops(measured, speed_mode), "SpeedCat", "StepDistribution")
 
 
+def trajectory_totals(steps: DataFrame, speed_mode: str = "hours_per_km") -> DataFrame:
+    """``trajectory_summary`` from merged segments: one scan, and no task holds a whole trajectory's steps."""
+    return segment_measures(merge_segments(trajectory_segments(steps, speed_mode), speed_mode))
+
+
 def length_distribution(steps: DataFrame, limits: HotLimits | None = None) -> DataFrame:
-    return length_report(trajectory_length(steps, limits))
+    return length_report(trajectory_length(steps, limits) if limits else trajectory_totals(steps))
 
 
 def gross_time_distribution(steps: DataFrame) -> DataFrame:
@@ -75,7 +81,9 @@ def gross_time_distribution(steps: DataFrame) -> DataFrame:
 
 def net_time_distribution(steps: DataFrame, speed_mode: str = "hours_per_km",
                           limits: HotLimits | None = None) -> DataFrame:
-    return net_time_report(trajectory_net_hours(steps, speed_mode, limits))
+    if limits:
+        return net_time_report(trajectory_net_hours(steps, speed_mode, limits))
+    return net_time_report(trajectory_totals(steps, speed_mode).where(F.col("StepTimestampDiff").isNotNull()))
 
 
 def length_report(lengths: DataFrame) -> DataFrame:

@@ -16,6 +16,8 @@ TRACK_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 LABEL_TIME_FORMAT = "yyyy/MM/dd HH:mm:ss"
 
 TRAJECTORY = ("UserId", "TrajectoryID")
+#: Time slice of a step, a column of bucketed tables
+SLICE = "Slice"
 
 STEP_SCHEMA = T.StructType([
     T.StructField("IngestionTime", T.TimestampType(), False),
