@@ -28,7 +28,7 @@ from trackspark.session import fresh_path, size_file_listing
 from trackspark.sources.labels import read_labels
 from trackspark.sources.tables import geo_table_sql
 from trackspark.sources.tracks import parse_track_text, read_tracks
-from trackspark.streaming import ingest_incremental
+from trackspark.streaming import analyse_maintained, ingest_incremental, ingest_maintained, maintained_steps
 
 # Python workers get the few functions they run with the task, so the package need not be
 # installed where they start.
@@ -178,6 +178,25 @@ def _stored_reports(spark: SparkSession, d: str, fmt: str) -> dict[str, str]:
     return runs.analyse_all(spark, folder, run_id=1, fmt=fmt)
 
 
+def _two_increments(spark: SparkSession, d: str, late: bool) -> str:
+    """A store after two increments of half the tracks each; with ``late``, odd users' labels come with the second."""
+    size_file_listing(spark)
+    events = _table(spark, d, "events")
+    steps, labels = steps_from_events(events), raw_labels_from_events(events)
+    root, store = fresh_path(spark, "raw"), fresh_path(spark, "store")
+    half = F.pmod(F.xxhash64(*TRAJECTORY), F.lit(2)) == 0
+    first = labels.where("cast(UserId as bigint) % 2 = 0") if late else labels
+    for part, known in ((steps.where(half), first), (steps.where(~half), labels if late else labels.limit(0))):
+        write_raw_files(part, known, root)
+        ingest_maintained(spark, root, store)
+    return store
+
+
+def _reports_after_increments(spark: SparkSession, d: str) -> DataFrame:
+    paths = analyse_maintained(spark, _two_increments(spark, d, False), fresh_path(spark, "reports"), 1)
+    return _report_rows(spark, paths, "parquet")
+
+
 def _bucketed_reports(spark: SparkSession, d: str) -> DataFrame:
     """The reports from a bucketed table that was appended to once."""
     folder = fresh_path(spark, "reports")
@@ -256,6 +275,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stored_reports_parquet": lambda s, d: _stored_report_rows(s, d, "parquet"),
         "stored_reports_csv": lambda s, d: _stored_report_rows(s, d, "csv"),
         "stored_reports_bucketed": _bucketed_reports,
+        "reports_after_increments": _reports_after_increments,
+        "relabel_late": lambda s, d: _step_fields(maintained_steps(s, _two_increments(s, d, True))),
     } | _text_parts()[0]
 
 
@@ -345,6 +366,8 @@ def oracle_sql() -> dict[str, str]:
             ("length", "DistCat", "TotalDistanceDistribution", length),
             ("time_gross", "TimeCat", "TimeGrossDistribution", gross),
             ("time_net", "TimeCat", "TimeNetDistribution", net["hours_per_km"])))
+    # what goes through raw files has whole seconds only
+    file_reports = reports.replace("ts as StepTimestamp from events", "date_trunc('second', ts) as StepTimestamp from events")
     parsed = f"with {_STEPS} {_FILE_STEPS} from t"
     return {
         "length_dist": length,
@@ -404,4 +427,6 @@ def oracle_sql() -> dict[str, str]:
         "stored_reports_parquet": reports,
         "stored_reports_csv": reports,
         "stored_reports_bucketed": reports,
+        "reports_after_increments": file_reports,
+        "relabel_late": _FILE_LABELLED,
     } | _text_parts()[1]
