@@ -27,7 +27,7 @@ from trackspark.schemas import TRAJECTORY, UNKNOWN_LABEL
 from trackspark.session import fresh_path, size_file_listing
 from trackspark.sources.labels import read_labels
 from trackspark.sources.tables import geo_table_sql
-from trackspark.sources.tracks import parse_track_text, read_tracks
+from trackspark.sources.tracks import check_track_lines, parse_track_text, read_tracks, split_track_text
 from trackspark.streaming import analyse_maintained, ingest_incremental, ingest_maintained, maintained_steps
 
 # Python workers get the few functions they run with the task, so the package need not be
@@ -154,6 +154,21 @@ def _read_tracks(spark: SparkSession, d: str, **how: int) -> DataFrame:
     return _step_fields(read_tracks(spark, _raw_files(spark, d), **how))
 
 
+def _damaged_texts(steps: DataFrame) -> DataFrame:
+    """Track files of one line each, of which three in ten cannot be read."""
+    kind = F.col("event_id") % 10
+    whole = r"^(?s)(.*\r\n)([^,\r\n]*),([^\r\n]*)\r\n$"
+    return track_texts(steps.where(kind > 2)).unionByName(
+        track_texts(steps.where(kind == 0)).withColumn("value", F.regexp_replace("value", whole, "$1north,$3\r\n"))).unionByName(
+        track_texts(steps.where(kind == 1)).withColumn("value", F.regexp_replace("value", whole, "$1$2,116\r\n"))).unionByName(
+        track_texts(steps.where(kind == 2)).withColumn("value", F.regexp_replace("value", r",(\d{4})-", ",$1/")))
+
+
+def _parse_rejected(spark: SparkSession, d: str) -> DataFrame:
+    checked = check_track_lines(split_track_text(_damaged_texts(_steps(spark, d))))
+    return checked.groupBy(*TRAJECTORY, F.coalesce("Reason", F.lit("kept")).alias("Reason")).agg(F.count("*").alias("Lines"))
+
+
 def _read_labels(spark: SparkSession, d: str) -> DataFrame:
     labels = read_labels(spark, _raw_files(spark, d))
     return labels.select("UserId", F.unix_timestamp("StartTime").alias("StartSeconds"),
@@ -245,6 +260,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "time_net_dist_kmh": lambda s, d: analyses.net_time_distribution(_steps(s, d), "km_per_hour"),
         "label_counts": _label_counts,
         "parse_tracks": lambda s, d: _step_fields(parse_track_text(track_texts(_steps(s, d)))),
+        "parse_tracks_rejected": _parse_rejected,
         "step_distance": lambda s, d: _step_distance(_steps(s, d)),
         "step_distance_split": lambda s, d: _step_distance(*_hot_steps(s, d)),
         "step_hours": _step_hours,
@@ -376,6 +392,8 @@ def oracle_sql() -> dict[str, str]:
         "time_net_dist_kmh": net["km_per_hour"],
         "label_counts": f'with {_STEPS}, {_LABELS}, {_JOINED} select Label, count(*) as "Steps" from j group by 1',
         "parse_tracks": parsed,
+        "parse_tracks_rejected": f"""with {_STEPS} select UserId, TrajectoryID, case event_id % 10 when 0 then 'bad latitude'
+            when 1 then 'too few fields' when 2 then 'bad time' else 'kept' end as "Reason", count(*) as "Lines" from t group by all""",
         "step_distance": step_distance.format(_MEASURES),
         "step_distance_split": step_distance.format(hot_measures),
         "step_hours": f"""with {_MEASURES} select event_id, round(coalesce(elapsed, 0), 6) as StepTimestampDiff,

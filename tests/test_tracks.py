@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import FIRST, RUN_TS, SECOND, golden_rows, track_text, write
 from trackspark.schemas import STEP_SCHEMA
+from trackspark.plans import runs
 from trackspark.sources import parse_track_text, read_tracks
 
 BOTH_WAYS = pytest.mark.parametrize("whole_file_bytes", [64 << 20, 0])
@@ -86,3 +87,23 @@ def test_bad_lines(spark, bad):
 def test_missing_input(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         read_tracks(spark, str(tmp_path / "nothing"))
+
+
+def test_rejected_lines_are_kept_apart(spark, tree, tmp_path):
+    bad = ["north,116.3,0,1,0,2007-04-29,08:00:00", "40,east,0,1,0,2007-04-29,08:00:00", "40,116,0,high,0,2007-04-29,08:00:00",
+           "40,116,0,1,0,2007-13-29,08:00:00", "40,116,0,1", "", "  "]
+    write(tree / "Data" / "007" / "Trajectory" / "bad.plt", track_text([]) + "\r\n".join([*bad, "40,116,0,1,0,2007-04-29,08:00:00"]))
+    rejects, out = str(tmp_path / "rejects"), str(tmp_path / "out")
+    for again in (1, 2):
+        counts = runs.ingest_with_rejects(spark, str(tree), out, rejects)
+        assert counts == {"read": 14, "kept": 9, "rejected": 5}
+        kept = spark.read.schema("File string, Line string, Reason string").json(rejects).collect()
+        assert spark.read.parquet(f"{out}/geo_table.parquet").count() == 9 * again and len(kept) == 5 * again
+    assert {(r.Line, r.Reason) for r in kept} == set(zip(bad[:5], ["bad latitude", "bad longitude", "bad altitude", "bad time", "too few fields"]))
+    assert all(r.File.endswith("/bad.plt") for r in kept)
+    assert spark.read.parquet(f"{out}/geo_table.parquet").where("Label > 0").count() == 2 * 6
+
+
+def test_a_tree_without_bad_lines_rejects_none(spark, tree, tmp_path):
+    counts = runs.ingest_with_rejects(spark, str(tree), str(tmp_path / "out"), str(tmp_path / "rejects"))
+    assert counts == {"read": 8, "kept": 8, "rejected": 0}
