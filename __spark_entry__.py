@@ -133,7 +133,7 @@ def _geo_table_sql(spark: SparkSession, d: str) -> DataFrame:
     # lower-case names on purpose: SQL finds the columns of the view without regard to case
     return geo_table_sql(_steps(spark, d), """
         select userid as user_id, trajectoryid as trajectory_id, latitude, longitude,
-               unix_micros(steptimestamp) as step_micros from geo_table""")
+               unix_micros(steptimestamp) as step_micros from {geo_table}""")
 
 
 def _mode_labels(spark: SparkSession, d: str) -> DataFrame:

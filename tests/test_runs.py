@@ -155,3 +155,9 @@ def test_commands(spark, tree, tmp_path, capsys):
     main(["ingest-new", "--input_folder", str(tree), "--output_folder", str(tmp_path / "new"),
           "--checkpoint", str(tmp_path / "state")])
     assert labelled(read_geo_table(spark, str(tmp_path / "new"))) == GOLDEN_LABELLED
+
+
+def test_sql_over_two_tables_of_one_name(spark, steps):
+    queries = [geo_table_sql(df, "select count(*) as n from {geo_table}") for df in (steps, steps.limit(3))]
+    assert [q.first()["n"] for q in queries] == [8, 3]
+    assert not spark.catalog.tableExists("geo_table") or geo_table_sql(steps, "select 1 from geo_table").count() == 8

@@ -107,3 +107,18 @@ def test_rejected_lines_are_kept_apart(spark, tree, tmp_path):
 def test_a_tree_without_bad_lines_rejects_none(spark, tree, tmp_path):
     counts = runs.ingest_with_rejects(spark, str(tree), str(tmp_path / "out"), str(tmp_path / "rejects"))
     assert counts == {"read": 8, "kept": 8, "rejected": 0}
+
+
+def files_listed(spark):
+    return spark._jvm.org.apache.spark.metrics.source.HiveCatalogMetrics.METRIC_FILES_DISCOVERED().getCount()
+
+
+@BOTH_WAYS
+def test_the_tree_is_listed_once_unless_files_are_large(spark, tmp_path, whole_file_bytes):
+    for user in range(4):
+        for i in range(60):
+            write(tmp_path / "Data" / str(user) / "Trajectory" / f"{i}.plt", track_text(FIRST[:1]))
+    before = files_listed(spark)
+    df = read(spark, tmp_path, whole_file_bytes=whole_file_bytes)
+    assert df.count() == 240
+    assert files_listed(spark) - before == 240 * (1 if whole_file_bytes else 2)
