@@ -23,7 +23,7 @@ from trackspark.operators.steps import calculate_distance, classify_stops, step_
 from trackspark.plans import analyses, runs
 from trackspark.plans.layout import append_bucketed
 from trackspark.plans.derived import raw_labels_from_events, steps_from_events, track_texts, write_raw_files
-from trackspark.schemas import TRAJECTORY, UNKNOWN_LABEL
+from trackspark.schemas import LENGTH_BINS, LENGTH_NAMES, TRAJECTORY, UNKNOWN_LABEL
 from trackspark.session import fresh_path, size_file_listing
 from trackspark.sources.labels import read_labels
 from trackspark.sources.tables import geo_table_sql
@@ -193,6 +193,53 @@ def _stored_reports(spark: SparkSession, d: str, fmt: str) -> dict[str, str]:
     return runs.analyse_all(spark, folder, run_id=1, fmt=fmt)
 
 
+def _pipeline_twice(spark: SparkSession, d: str) -> DataFrame:
+    """The whole run twice over the same input, the second time with files archived: reports of the second."""
+    size_file_listing(spark)
+    root, out, state = _raw_files(spark, d), fresh_path(spark, "out"), fresh_path(spark, "state")
+    archive = fresh_path(spark, "archive")
+    for run_id in (1, 2):
+        paths = runs.run_all(spark, root, out, run_id=run_id, checkpoint=state, archive=archive)
+    return _report_rows(spark, {name: path for name, path in paths.items() if name != "geo_table"}, "parquet")
+
+
+def _ingest_archive(spark: SparkSession, d: str) -> DataFrame:
+    """Tracks that came in two parts, consumed files being moved away in between."""
+    size_file_listing(spark)
+    events = _table(spark, d, "events")
+    steps, labels = steps_from_events(events), raw_labels_from_events(events)
+    root, out, state = fresh_path(spark, "raw"), fresh_path(spark, "table"), fresh_path(spark, "state")
+    archive = fresh_path(spark, "archive")
+    half = F.pmod(F.xxhash64(*TRAJECTORY), F.lit(2)) == 0
+    for part, known in ((steps.where(half), labels), (steps.where(~half), labels.limit(0))):
+        write_raw_files(part, known, root)
+        ingest_incremental(spark, root, out, state, archive)
+    return _step_fields(spark.read.parquet(out))
+
+
+def _ingest_with(spark: SparkSession, d: str, labelled: str) -> DataFrame:
+    """Batch ingestion where only the users for whom ``labelled`` holds have a label file."""
+    size_file_listing(spark)
+    events = _table(spark, d, "events")
+    root = fresh_path(spark, "raw")
+    write_raw_files(steps_from_events(events), raw_labels_from_events(events.where(labelled)), root)
+    return _step_fields(spark.read.parquet(runs.ingest(spark, root, fresh_path(spark, "table"))))
+
+
+def _bucket_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Values on, below and outside the edges of the length buckets, NULL and NaN, by event."""
+    n = F.col("event_id") % 10
+    value = F.element_at(F.array(*[F.lit(x).cast("double") for x in (-1.0, 0.0, 4.999, 5.0, 20.0, 99.99, 100.0, float("inf"), float("nan"), None)]),
+                         n.cast("int") + 1)
+    named = bucketize(_table(spark, d, "events").select("event_id", value.alias("value")), LENGTH_BINS, LENGTH_NAMES, "value", "DistCat")
+    return named.select("event_id", "DistCat")
+
+
+def _step_speed_kmh(spark: SparkSession, d: str) -> DataFrame:
+    measured = classify_stops(step_measures(_steps(spark, d)), "km_per_hour")
+    return _rounded(measured, "Speed").select("event_id", "Speed", "SpeedCat")
+
+
 def _two_increments(spark: SparkSession, d: str, late: bool) -> str:
     """A store after two increments of half the tracks each; with ``late``, odd users' labels come with the second."""
     size_file_listing(spark)
@@ -291,6 +338,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stored_reports_parquet": lambda s, d: _stored_report_rows(s, d, "parquet"),
         "stored_reports_csv": lambda s, d: _stored_report_rows(s, d, "csv"),
         "stored_reports_bucketed": _bucketed_reports,
+        "pipeline_twice": _pipeline_twice,
+        "ingest_archive": _ingest_archive,
+        "ingest_no_labels": lambda s, d: _ingest_with(s, d, "false"),
+        "label_some_users": lambda s, d: _ingest_with(s, d, "user_id % 3 = 0"),
+        "bucket_edges": _bucket_edges,
+        "step_speed_kmh": _step_speed_kmh,
         "reports_after_increments": _reports_after_increments,
         "relabel_late": lambda s, d: _step_fields(maintained_steps(s, _two_increments(s, d, True))),
     } | _text_parts()[0]
@@ -445,6 +498,14 @@ def oracle_sql() -> dict[str, str]:
         "stored_reports_parquet": reports,
         "stored_reports_csv": reports,
         "stored_reports_bucketed": reports,
+        "pipeline_twice": file_reports,
+        "ingest_archive": _FILE_LABELLED,
+        "ingest_no_labels": f"with {_STEPS}, p as ({_FILE_STEPS} from t) select p.*, cast(0 as int) as Label from p",
+        "label_some_users": _FILE_LABELLED.replace("as bigint) as s1, Label from b", "as bigint) as s1, Label from b where cast(UserId as bigint) % 3 = 0"),
+        "bucket_edges": """select event_id, case event_id % 10 when 1 then '<5' when 2 then '<5' when 3 then '5-20' when 4 then '20-100'
+            when 5 then '20-100' when 6 then '>=100' when 7 then '>=100' end as "DistCat" from events""",
+        "step_speed_kmh": f"""with {_MEASURES} select event_id, round(km_per_hour, 6) as Speed,
+            case when km_per_hour < 0.05 then 'stop' else 'not-stop' end as SpeedCat from s""",
         "reports_after_increments": file_reports,
         "relabel_late": _FILE_LABELLED,
     } | _text_parts()[1]

@@ -8,6 +8,7 @@ from trackspark.__main__ import main
 from trackspark.operators import HotLimits
 from trackspark.plans import runs
 from trackspark.sources import EmptyLabelsError, geo_table_sql, read_geo_table
+from trackspark.streaming.source import arriving_lines
 from trackspark.streaming import ingest_incremental
 
 GOLDEN_LABELLED = sorted(
@@ -161,3 +162,10 @@ def test_sql_over_two_tables_of_one_name(spark, steps):
     queries = [geo_table_sql(df, "select count(*) as n from {geo_table}") for df in (steps, steps.limit(3))]
     assert [q.first()["n"] for q in queries] == [8, 3]
     assert not spark.catalog.tableExists("geo_table") or geo_table_sql(steps, "select 1 from geo_table").count() == 8
+
+
+@pytest.mark.parametrize("limit", [64 << 20, 10])
+def test_arriving_files_need_python_only_if_large(spark, tree, limit):
+    stream = arriving_lines(spark, str(tree), whole_file_bytes=limit)
+    assert stream.isStreaming
+    assert ("MapInArrow" in stream._jdf.queryExecution().analyzed().toString()) == (limit == 10)
