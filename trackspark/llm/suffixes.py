@@ -97,8 +97,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
 
 def _prints(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for data, offsets, _, _ in pieces(batch.column("text"), length, 1 << (_PIECE_BITS - 1)):
+        for part in (p for batch in batches for p in runs(batch, "text")):
+            for data, offsets, _, _ in pieces(part.column("text"), length, 1 << (_PIECE_BITS - 1)):
                 yield pa.RecordBatch.from_arrays([pa.array(anchors(data, offsets, length)[3].view(np.int64))], ["print"])
     return run
 
@@ -116,9 +116,9 @@ def _double_hash(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.nda
 def _contexts(length: int, bitmap, wanted=None):
     """Contexts of the anchors that the bitmap may hold; with their bytes only those that ``wanted`` may hold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, hashes = batch.column("doc_id"), batch.column("text_hash")
-            for data, offsets, docs, base in pieces(batch.column("text"), length, 1 << (_PIECE_BITS - 1)):
+        for part in (p for batch in batches for p in runs(batch, "text")):
+            ids, hashes = part.column("doc_id"), part.column("text_hash")
+            for data, offsets, docs, base in pieces(part.column("text"), length, 1 << (_PIECE_BITS - 1)):
                 first, n, at, prints = anchors(data, offsets, length)
                 keep = may_hold(bitmap.value, prints.view(np.int64))
                 first, n, at, prints = first[keep], n[keep], at[keep], prints[keep]
@@ -321,7 +321,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, hot_contexts: int = HOT_
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in runs(whole, "text")):
         rows = []
         for data, whole, spans in zip(*(batch.column(c).to_pylist() for c in ("text", "whole", "spans"))):
             data = (data or "").encode()
@@ -352,7 +352,10 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, hot_contexts: int =
     small = copies.count() <= BROADCAST_ROWS
     marked = base.join(F.broadcast(copies) if small else copies, base["sha"] == copies["copied"], "left")
     whole = F.col("copied").isNotNull() & ~same(F.col("doc_id"), F.col("first"))
-    spans = find_repeats(marked.where(F.col("sha").isNotNull() & ~whole).select("doc_id", "text_hash", "text"), length, hot_contexts)
+    # of a row that is there several times one stands for all; only texts that have copies are looked through for that
+    apart = marked.where(F.col("sha").isNotNull() & ~whole)
+    once = apart.where("copied is null").unionByName(apart.where("copied is not null").dropDuplicates(["doc_id", "text_hash"]))
+    spans = find_repeats(once.select("doc_id", "text_hash", "text"), length, hot_contexts)
     by_doc = (spans.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"))
               .agg(F.collect_set(F.struct("begin", "end")).alias("spans")))  # a document's own spans
     return (marked.withColumn("whole", whole).join(by_doc, same(F.col("doc_id"), F.col("d")) & (F.col("text_hash") == F.col("h")), "left")
