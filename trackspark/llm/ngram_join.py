@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackspark.llm.bitmap import key_bitmap, may_hold
-from trackspark.llm.common import running_total, runs, same, stored
+from trackspark.llm.common import running_total, runs, stored
 from trackspark.llm.components import components, join_sets
 from trackspark.llm.words import NOT_SPACE, find_words, grams, mix
 
@@ -225,24 +225,24 @@ def _products(rule: Overlap):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
         for batch in batches:
-            for group, left, right, doc_id, data in zip(*(batch.column(c).to_pylist() for c in ("group", "left", "right", "doc_id", "shingles"))):
+            for group, left, right, node, data in zip(*(batch.column(c).to_pylist() for c in ("group", "left", "right", "node", "shingles"))):
                 if (group, left, right) != now:
                     if len(rows) > 1:
                         yield multiply(rows)
                     now, rows = (group, left, right), []
-                rows.append((doc_id, data))
+                rows.append((node, data))
         if len(rows) > 1:
             yield multiply(rows)
     return run
 
 
 def _block_pairs(members: DataFrame, rule: Overlap) -> DataFrame:
-    """Members (group, doc_id, n) with every pair of blocks they are in: group, doc_id, left, right."""
+    """Members (group, node, n) with every pair of blocks they are in: group, node, left, right."""
     weighted = members.withColumn("weight", F.greatest("n", F.lit(LEAST_WEIGHT)))
-    placed = running_total(weighted, ["group", "n", "doc_id"], "weight", "upto")
+    placed = running_total(weighted, ["group", "n", "node"], "weight", "upto")
     first = placed.groupBy("group").agg(F.min("upto").alias("from"))
     blocked = stored(placed.join(first, "group").select(
-        "group", "doc_id", "n", ((F.col("upto") - F.col("from")) / BLOCK_WEIGHT).cast("int").alias("block")), "blocked")
+        "group", "node", "n", ((F.col("upto") - F.col("from")) / BLOCK_WEIGHT).cast("int").alias("block")), "blocked")
     sizes = blocked.groupBy("group", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     left = sizes.select("group", F.col("block").alias("left"), F.col("most").alias("left_most"))
     right = sizes.select("group", F.col("block").alias("right"), F.col("least").alias("right_least"))
@@ -250,7 +250,7 @@ def _block_pairs(members: DataFrame, rule: Overlap) -> DataFrame:
     pairs = left.join(right, "group").where((F.col("left") <= F.col("right"))
                                             & (rule.den * F.col("left_most") >= rule.num * F.col("right_least")))
     ends = pairs.select("group", "left", "right", F.explode(F.array_distinct(F.array("left", "right"))).alias("block"))
-    return blocked.join(ends, ["group", "block"]).select("group", "doc_id", "left", "right")
+    return blocked.join(ends, ["group", "block"]).select("group", "node", "left", "right")
 
 
 def ngram_join(docs: DataFrame, n: int = 3, rule: Overlap = Overlap()) -> DataFrame:
@@ -267,30 +267,38 @@ def ngram_join(docs: DataFrame, n: int = 3, rule: Overlap = Overlap()) -> DataFr
     groups = components(_candidate_edges(able))
     # a set alone with its keys is in no edge; the smallest of each group is its own label
     labels = groups.select("node", "component").unionByName(groups.select(F.col("component").alias("node"), "component").distinct())
+    # a set is a node of its own, as documents that repeat an id have several
     members = stored(sets.join(labels, sets["one"] == labels["node"]).select(
-        F.col("component").alias("group"), F.col("first").alias("doc_id"), "n", "one", "other"), "members")
-    pairs = stored(_block_pairs(members.select("group", "doc_id", "n"), rule), "pairs")
+        F.col("component").alias("group"), F.col("first").alias("doc_id"), "n", "node"), "members")
+    pairs = stored(_block_pairs(members.select("group", "node", "n"), rule), "pairs")
     few = members.count() <= BROADCAST_ROWS
-    chosen = members.select("doc_id", "one", "other")
+    chosen = members.select("doc_id", "node")
     texts = base.join(F.broadcast(chosen) if few else chosen, "doc_id")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in runs(batch, "text"):
                 sets = shingle_sets(part.column("text"), n)
-                # rows that repeat an id: the one whose set was chosen
-                meant = [mix(s).sum() == np.uint64(one % (1 << 64)) for s, one in zip(sets, part.column("one").to_pylist())]
-                ids = [i for i, ok in zip(part.column("doc_id").to_pylist(), meant) if ok]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([s.tobytes() for s, ok in zip(sets, meant) if ok], pa.binary())],
-                                                 ["doc_id", "shingles"])
-    shingles = stored(texts.select("doc_id", "one", "text").mapInArrow(shingled, "doc_id long, shingles binary"), "shingles")
-    met = (pairs.join(shingles, "doc_id").repartition("group", "left", "right").sortWithinPartitions("group", "left", "right", "doc_id")
-           .select("group", "left", "right", "doc_id", "shingles"))
-    # equal sets, also of rows that repeat an id, are linked too
-    equal = able.select("n", "one", "other", "doc_id").join(sets, ["n", "one", "other"]).where("doc_id <> first").select(
-        F.col("doc_id").alias("a"), F.col("first").alias("b"))
-    links = met.mapInArrow(_products(rule), "a long, b long").unionByName(equal)
-    found = components(links)
+                # rows that repeat an id meet each set of that id; a row gives its own
+                nodes = part.column("node").to_pylist()
+                meant = [mix(s).sum() == np.uint64(node % (1 << 64)) for s, node in zip(sets, nodes)]
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, ok in zip(nodes, meant) if ok], pa.int64()),
+                                                  pa.array([s.tobytes() for s, ok in zip(sets, meant) if ok], pa.binary())],
+                                                 ["node", "shingles"])
+    shingles = stored(texts.select("node", "text").mapInArrow(shingled, "node long, shingles binary"), "shingles")
+    met = (pairs.join(shingles, "node").repartition("group", "left", "right").sortWithinPartitions("group", "left", "right", "node")
+           .select("group", "left", "right", "node", "shingles"))
+    # the sets of one id are linked through it
+    ids = able.groupBy("doc_id").agg(F.min("one").alias("b"), F.max("one").alias("top")).where("top > b").select("doc_id", "b")
+    again = able.join(ids, "doc_id").where("one > b").select(F.col("one").alias("a"), "b").distinct()
+    found = components(met.mapInArrow(_products(rule), "a long, b long").unionByName(again))
+    placed = stored(sets.join(found, sets["one"] == found["node"], "left")
+                    .select("one", "first", F.coalesce("component", "one").alias("home")), "homes")
+    least = placed.groupBy("home").agg(F.min("first").alias("component_id"))
+    named = placed.join(least, "home").select(F.col("one").alias("set"), "component_id").distinct()
+    # rows of one id get one component, also those without a set; rows without an id are linked with nothing
+    docs_of = (able.select("doc_id", "one").join(named, F.col("one") == F.col("set"))
+               .groupBy(F.col("doc_id").alias("id")).agg(F.min("component_id").alias("component_id")))
     out = keyed.select("doc_id", F.col("n").alias("n_shingles"))
-    return out.join(found, same(out["doc_id"], found["node"]), "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    return out.join(docs_of, out["doc_id"] == docs_of["id"], "left").select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
