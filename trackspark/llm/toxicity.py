@@ -1,14 +1,13 @@
 """Toxicity: a logistic classifier over words, regularised by counterfactual sentences.
 
-A text is the set of its words (digits, letters, longer characters; A-Z lower-cased) and of the beginnings
-of longer words, for endings that vary. The vocabulary is what labelled texts show to be frequent enough and
-telling beyond chance, plus the identity terms. Training adds, for every labelled sentence that names a group, the sentence with another
+A text is the set of its words (digits, letters, longer characters; A-Z lower-cased). The vocabulary is what
+labelled texts show to be frequent enough and telling beyond chance, plus the terms that name groups (``groups``). Training adds, for every labelled sentence that names a group, the sentence with another
 group in its place, and penalises the square of the change in score, so a score does not hang on
 which group is named: fewer false alarms on neutral mentions.
 
 Training rows are a sample bounded by ``TRAIN_ROWS``, taken by hash; vocabulary statistics are
 computed in Spark over it, and what reaches the driver is at most that many short lists. Scoring
-reads whole texts in Arrow batches.
+reads whole texts in runs of bounded size.
 
 NULL and empty texts are scored like a text without known words. A label that is NULL is no label; an id with
 several labels counts as each. Without labelled rows of both kinds the score is their share (0.5 without any).
@@ -21,13 +20,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackspark.llm.common import runs, stored
-from trackspark.llm.words import ALNUM, find_words, hash_bytes, mix
+from trackspark.llm.words import ALNUM, find_words
 
 #: documented bounds: labelled rows to learn from, words the model knows, texts a word must be in
 TRAIN_ROWS = 20_000
@@ -35,8 +33,6 @@ VOCABULARY = 4096
 LEAST_TEXTS = 5
 #: standard errors by which a word's share of toxic texts has to differ from the mean
 TELLING = 5.0
-#: bytes of beginnings
-BEGINNINGS = (4, 5, 6)
 
 #: Terms naming groups, by kind; a term is swapped for the others of its kind.
 IDENTITY_TERMS = {
@@ -67,23 +63,12 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
-def _units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Text and hash of every word and of the beginnings of longer words."""
-    words = find_words(texts, ALNUM)
-    docs, hashes = [words.doc], [words.hash]
-    for size in BEGINNINGS:
-        longer = words.end - words.start > size
-        start = words.start[longer]
-        docs.append(words.doc[longer])
-        hashes.append(mix(hash_bytes(words.data, start, start + size) + np.uint64(size)))
-    return np.concatenate(docs), np.concatenate(hashes)
-
-
 def present(texts: pa.Array, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which known words are in which text, once each, as rows and indexes."""
     if not len(hashes):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    doc, unit = _units(texts)
+    words = find_words(texts, ALNUM)
+    doc, unit = words.doc, words.hash
     maybe = np.zeros(1 << 16, bool)
     maybe[hashes & np.uint64(0xFFFF)] = True
     near = maybe[unit & np.uint64(0xFFFF)]
@@ -134,8 +119,13 @@ def _sentence_swaps(text: str, hashes: np.ndarray, swaps: dict[int, list[int]])
     return [x for pair in out for x in pair]
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, counterfactual: float = 10.0, ridge: float = 1.0) -> Model:
-    """Fit to the texts of ``docs`` that ``labels`` (doc_id, toxic) marks. Both hold training rows only."""
+def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, counterfactual: float = 10.0, ridge: float = 1.0,
+          groups: dict[str, list[str]] | None = None) -> Model:
+    """Fit to the texts of ``docs`` that ``labels`` (doc_id, toxic) marks. Both hold training rows only.
+
+    ``groups`` names the terms that are swapped for one another, lower-case words by kind.
+    """
+    groups = IDENTITY_TERMS if groups is None else groups
     marked = (labels.where("toxic is not null and doc_id is not null")
               .select("doc_id", F.when(F.col("toxic") > 0, 1).otherwise(0).cast("long").alias("toxic")))
     total = marked.count()
@@ -154,11 +144,11 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, counterfac
                .agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).where(F.col("n") >= LEAST_TEXTS)
                .withColumn("z", F.abs(F.col("t") - F.col("n") * base) / F.sqrt(F.col("n") * base * (1 - base)))
                .where(F.col("z") >= TELLING).orderBy(F.desc("z"), "word").limit(VOCABULARY).collect())
-    terms = {t: word_hashes([t])[0] for kind in IDENTITY_TERMS.values() for t in kind}
+    terms = {t: word_hashes([t])[0] for kind in groups.values() for t in kind}
     hashes = np.unique(np.concatenate([np.asarray([r["word"] for r in telling], np.int64).view(np.uint64),
                                        np.asarray(list(terms.values()), np.uint64)]))
     place = {t: int(np.searchsorted(hashes, h)) for t, h in terms.items()}
-    swaps = {place[t]: [place[o] for o in kind if o != t] for kind in IDENTITY_TERMS.values() for t in kind}
+    swaps = {place[t]: [place[o] for o in kind if o != t] for kind in groups.values() for t in kind}
     lists = sample.mapInArrow(_lists(hashes, swaps), "toxic long, words array<int>, swaps array<int>").collect()
     return _fit(hashes, lists, counterfactual, ridge)
 
@@ -195,9 +185,12 @@ def _fit(hashes: np.ndarray, lists: list, counterfactual: float, ridge: float) -
 
 def toxicity(model: Model):
     """The model as a function of a text column."""
-    @F.pandas_udf("double")
-    def score(text: pd.Series) -> pd.Series:
-        return pd.Series(model.score(pa.array(text, pa.string(), from_pandas=True)))
+    @F.arrow_udf("double")
+    def score(text: pa.Array) -> pa.Array:
+        # a batch is scored in runs of bounded size, whatever its texts are
+        batch = pa.RecordBatch.from_arrays([text], ["text"])
+        parts = [model.score(part.column("text")) for part in runs(batch, "text")]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
     return score
 
 
