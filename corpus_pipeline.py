@@ -33,8 +33,17 @@ REJECT_FROM = 0.3
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose doc_id is not in ``gone``; the list is as long as what goes."""
-    listed = gone.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(listed, docs["doc_id"] == listed["_gone"], "left_anti")
+    name = _free(docs, "gone")
+    listed = gone.select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(listed, docs["doc_id"] == listed[name], "left_anti")
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,10 +64,11 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    key, copies, n = (_free(docs, name) for name in ("id", "copies", "n"))
     taken = mix_sources(docs).where("copies > 0").select(
-        F.col("doc_id").alias("_id"), "copies").groupBy("_id").agg(F.max("copies").cast("int").alias("_copies"))
-    joined = docs.join(taken, same(docs["doc_id"], taken["_id"]))
-    return joined.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+        F.col("doc_id").alias(key), "copies").groupBy(key).agg(F.max("copies").cast("int").alias(copies))
+    joined = docs.join(taken, same(docs["doc_id"], taken[key]))
+    return joined.withColumn(n, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
