@@ -35,7 +35,6 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer, pre_tokenizers
 
 from trackspark.llm.common import running_total, runs, stored
 from trackspark.llm.words import mix
@@ -43,7 +42,9 @@ from trackspark.llm.words import mix
 END_ID = 1
 SHARD_BYTES = 4 << 20
 #: bytes of text whose distinct words are encoded together
-WORDS_FROM = 12 << 20
+WORDS_FROM = 4 << 20
+#: buckets that search alone once so few are left, and the seeds each tries at once
+_STUBBORN, _SEEDS = 200, 256
 #: letters of the Latin-1 block: in composed form, and what lower-casing makes of them
 _LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 _LATIN_LOWER = "\u00df-\u00f6\u00f8-\u00ff"
@@ -56,6 +57,8 @@ class Encoder:
     """Encodes many texts, each distinct word once."""
 
     def __init__(self, tokenizer: str, end_id: int = END_ID):
+        from tokenizers import Tokenizer, pre_tokenizers
+
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.full = Tokenizer.from_str(tokenizer)
         self.plain = Tokenizer.from_str(tokenizer)
@@ -139,31 +142,57 @@ def _hash(keys: np.ndarray, seed: int) -> np.ndarray:
 
 
 def minimal_perfect_hash(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Displacements and the slot of each of the distinct ``keys``: slots are 0 to n - 1, each once."""
+    """Displacements and the slot of each of the distinct ``keys``: slots are 0 to n - 1, each once.
+
+    Buckets are placed from the largest size down, all of one size together: each round tries one
+    seed for all that are left and places those that fit. Few stubborn buckets try many seeds at once.
+    Buckets of one key take what is free.
+    """
     n = len(keys)
     buckets = max(1, n // 4)
     place = (_hash(keys, 0) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(place, kind="stable")
     cuts = np.searchsorted(place[order], np.arange(buckets + 1))
+    size = np.diff(cuts)
     moves, slots, free = np.zeros(buckets, np.int32), np.zeros(n, np.int64), np.ones(n, bool)
-    by_size = np.argsort(cuts[:-1] - cuts[1:], kind="stable")
-    single = [b for b in by_size if cuts[b + 1] - cuts[b] == 1]
-    for b in by_size:
-        members = order[cuts[b]:cuts[b + 1]]
-        if len(members) < 2:
-            break
+    for width in range(int(size.max(initial=0)), 1, -1):
+        left = np.flatnonzero(size == width)
+        members = order[cuts[left][:, None] + np.arange(width)]  # keys of each bucket, a row for each
         seed = 1
-        while True:
-            at = (_hash(keys[members], seed) % np.uint64(n)).astype(np.int64)
-            if free[at].all() and len(set(at.tolist())) == len(at):
-                break
-            seed += 1
-        moves[b], slots[members], free[at] = seed, at, False
-    for b, at in zip(single, np.flatnonzero(free)):
-        moves[b], slots[order[cuts[b]]] = -int(at) - 1, at
+        while len(left) > _STUBBORN:
+            at = (_hash(keys[members.ravel()], seed) % np.uint64(n)).astype(np.int64).reshape(members.shape)
+            fits = np.flatnonzero(_apart(at) & free[at].all(axis=1))
+            # where two buckets want one slot, the first gets it; the other tries on
+            owner = np.full(n, len(left))
+            np.minimum.at(owner, at[fits].ravel(), np.repeat(fits, width))
+            fits = fits[(owner[at[fits]] == fits[:, None]).all(axis=1)]
+            moves[left[fits]], slots[members[fits]], free[at[fits]] = seed, at[fits], False
+            rest = np.ones(len(left), bool)
+            rest[fits] = False
+            left, members, seed = left[rest], members[rest], seed + 1
+        for b, own in zip(left, members):
+            first = 1
+            while True:
+                seeds = np.arange(first, first + _SEEDS, dtype=np.uint64)[:, None]
+                at = (mix(keys[own].astype(np.int64).view(np.uint64) + (seeds + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+                      % np.uint64(n)).astype(np.int64)
+                good = np.flatnonzero(_apart(at) & free[at].all(axis=1))
+                if len(good):
+                    break
+                first += _SEEDS
+            moves[b], slots[own], free[at[good[0]]] = first + good[0], at[good[0]], False
+    single = np.flatnonzero(size == 1)
+    at = np.flatnonzero(free)
+    moves[single], slots[order[cuts[single]]] = -at - 1, at
     return moves, slots
 
 
+def _apart(at: np.ndarray) -> np.ndarray:
+    """Rows whose entries all differ."""
+    ordered = np.sort(at, axis=1)
+    return (ordered[:, 1:] != ordered[:, :-1]).all(axis=1)
+
+
 class Shard:
     """One shard's bytes; ``get`` finds a key's document in constant time."""
 
