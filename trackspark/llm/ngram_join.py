@@ -37,6 +37,8 @@ from trackspark.llm.words import NOT_SPACE, find_words, grams, mix
 
 #: shingles counted so often in batches that hold them twice are common, where parts are small
 COMMON = 10
+#: bytes of text that are looked at together for these
+REPEATS_FROM = 8 << 20
 #: a size class ends at so many times its least size
 CLASS_RATIO = 1.25
 BLOCK_WEIGHT = 1 << 18
@@ -129,10 +131,10 @@ def _parts(shingles: np.ndarray, d: int, salt: int, thin: int) -> tuple[np.ndarr
 
 
 def _repeats(n: int):
-    """Shingles that several texts of an Arrow batch hold, with how many."""
+    """Shingles that several of the texts looked at together hold, with how many."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [s for part in runs(batch, "text") for s in shingle_sets(part.column("text"), n)]
+        for some in (part for batch in batches for part in runs(batch, "text", REPEATS_FROM)):
+            sets = [s for part in runs(some, "text") for s in shingle_sets(part.column("text"), n)]
             shingles, counts = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
             twice = counts > 1
             yield pa.RecordBatch.from_arrays([pa.array(shingles[twice].view(np.int64)), pa.array(counts[twice])], ["shingle", "n"])
