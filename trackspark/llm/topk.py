@@ -5,13 +5,17 @@ a block keeps, for every dimension, its rows sorted by that component, stored wi
 query reads each list from the end its sign favours, a step of rows of all lists at a time, scores every row it
 meets for the first time, and stops when the threshold (the score of a row as good as the last read
 entry of every list) is below the k-th score it has. Equality does not stop it, as an unread row
-might tie with a smaller id. Queries are packed too, and each block of candidates meets
-each block of queries once; the best k of a block are then merged for each query.
+might tie with a smaller id.
+
+Queries go to the candidates in passes of at most ``QUERY_BYTES``, broadcast, and candidates are not shuffled for them. A task
+carries the best k of each query of the pass from one of its blocks to the next, so the k-th score of earlier blocks
+stops the search of later ones, and hands on k rows per query at its end. The number of tasks follows the session, so what is
+shuffled grows with the queries only.
 
 Vectors that are NULL or hold NULL, NaN or infinity take no part, and vectors meet only those of their
 own length. Ids may repeat: every row is a candidate, save those with the query's own id; NULL ids take
-no part. Scores are exact while sums stay below 2^53 in a block, and by Python's integers, cut to
-the range of long, above that. No queries or no candidates: no rows. Other columns are not read.
+no part. Sums below 2^53 are exact in doubles and others are Python's integers; rows are ranked by the exact sum
+and only the reported score is cut to the range of long. No queries or no candidates: no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -20,23 +24,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackspark.llm.common import stored
+from trackspark.llm.common import stored, tasks
+from trackspark.session import fresh_path
 
 BLOCK_ROWS = 8192
 QUERY_ROWS = 256
+#: bytes of queries that are sent to all tasks at once
+QUERY_BYTES = 16 << 20
 STEP = 16
+#: integers are kept in doubles as so many parts of one, so that none of them overflows
+UNIT = 2.0 ** -12
+LONG = 1 << 63
 
 
 def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
-    """vec_id and the integer components (whole doubles), without vectors that take no part."""
+    """vec_id and the integer components (doubles, times ``UNIT``), without vectors that take no part."""
     x = F.col("embedding").cast("array<double>")
     fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
     return (vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & fine)
             .select(F.col("vec_id").cast("long").alias("vec_id"),
-                    F.transform(x, lambda v: F.when(F.abs(v) < 1e15, F.floor(v * scale).cast("double")).otherwise(v * scale)).alias("x")))
+                    F.transform(x, lambda v: F.when(F.abs(v) < 1e15, F.floor(v * scale).cast("double") * UNIT).otherwise(v * UNIT * scale)).alias("x")))
 
 
 def _packed(vectors: DataFrame, rows: int, sort: bool) -> DataFrame:
@@ -59,20 +70,35 @@ def _packed(vectors: DataFrame, rows: int, sort: bool) -> DataFrame:
     return placed.groupBy("dim", "block").applyInPandas(pack, "dim int, block int, ids binary, values binary, lists binary")
 
 
+class Best:
+    """The best k rows that a query has met: ids and exact scores, best first."""
+
+    def __init__(self) -> None:
+        self.ids, self.scores = np.zeros(0, np.int64), np.zeros(0)
+
+    def add(self, ids: np.ndarray, scores: np.ndarray, k: int) -> None:
+        ids, scores = np.concatenate([self.ids, ids]), np.concatenate([self.scores, scores])
+        if scores.dtype == object:
+            order = np.asarray(sorted(range(len(ids)), key=lambda j: (-scores[j], ids[j]))[:k], np.int64)
+        else:
+            order = np.lexsort((ids, -scores))[:k]
+        self.ids, self.scores = ids[order], scores[order]
+
+
 def threshold_search(ids: np.ndarray, values: np.ndarray, lists: np.ndarray, own: np.ndarray, queries: np.ndarray, k: int,
-                     step: int = STEP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Best ``k`` rows of a block for each query: query number, id, score. ``ids`` rise."""
+                     best: list[Best] | None = None, step: int = STEP) -> list[Best]:
+    """Merge the best ``k`` rows of a block into those that each query has. ``ids`` rise."""
     n, dims = values.shape
-    exact = n == 0 or dims == 0 or float(np.abs(values).max(initial=0)) * float(np.abs(queries).max(initial=0)) * dims < 2 ** 53
-    numbers, found, scores = [], [], []
+    best = [Best() for _ in queries] if best is None else best
+    most = [float(np.abs(x).max(initial=0)) / UNIT for x in (values, queries)]
+    exact = most[0] * most[1] * max(1, dims) < 2 ** 53
     for i, q in enumerate(queries):
         used = np.flatnonzero(q)
         seen = np.zeros(n, bool)
-        best_id, best = np.zeros(0, np.int64), np.zeros(0)
         down = q[used] > 0
         depth, ahead = 0, step
-        while True:
-            upto = min(n, depth + ahead)
+        while depth < n:
+            upto = min(n, depth + ahead) if len(used) else n
             at = np.where(down, n - 1 - np.arange(depth, upto)[:, None], np.arange(depth, upto)[:, None])
             rows = lists[at, used].ravel() if len(used) else np.arange(n)
             fresh = np.zeros(n, bool)
@@ -80,53 +106,81 @@ def threshold_search(ids: np.ndarray, values: np.ndarray, lists: np.ndarray, own
             fresh &= ~seen
             seen |= fresh
             rows = np.flatnonzero(fresh & (ids != own[i]))
-            got = values[rows] @ q if exact else np.asarray([_whole(values[r], q) for r in rows], object)
-            best_id, best = np.concatenate([best_id, ids[rows]]), np.concatenate([best, got])
-            order = np.lexsort((best_id, -best))[:k] if exact else np.asarray(sorted(range(len(best)), key=lambda j: (-best[j], best_id[j]))[:k], np.int64)
-            best_id, best = best_id[order], best[order]
+            best[i].add(ids[rows], values[rows] @ q / UNIT ** 2 if exact else np.asarray([_whole(values[r], q) for r in rows], object), k)
             depth = upto
-            if depth >= n or not len(used):
+            if depth >= n:
                 break
             last = np.where(down, n - depth, depth - 1)
             edge = values[lists[last, used], used]
-            bound = q[used] @ edge if exact else _whole(edge, q[used])
-            if len(best) == k and bound < best[-1]:
+            bound = edge @ q[used] / UNIT ** 2 if exact else _whole(edge, q[used])
+            if len(best[i].ids) == k and bound < best[i].scores[-1]:
                 break
             ahead = min(2 * ahead, n) if depth >= 8 * ahead else ahead
-        numbers.append(np.full(len(best), i))
-        found.append(best_id)
-        scores.append(best)
-    whole = [int(min(max(int(s), -(1 << 63)), (1 << 63) - 1)) for part in scores for s in part]
-    return np.concatenate(numbers or [np.zeros(0, int)]), np.concatenate(found or [np.zeros(0, np.int64)]), np.asarray(whole, np.int64)
+    return best
+
+
+def _integer(x: float) -> int:
+    n, d = x.as_integer_ratio()
+    return n * int(1 / UNIT) // d
 
 
 def _whole(a: np.ndarray, b: np.ndarray) -> int:
-    return sum(int(x) * int(y) for x, y in zip(a, b))
+    return sum(_integer(x) * _integer(y) for x, y in zip(a.tolist(), b.tolist()))
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """For each query row the ``k`` best rows of ``vectors``: query_id, rank, vec_id, score."""
-    blocks = stored(_packed(quantised(vectors), block_rows, True), "blocks")
-    asked = _packed(quantised(queries), QUERY_ROWS, False).select("dim", F.col("block").alias("ask"), F.col("ids").alias("q_ids"), F.col("values").alias("q_values"))
-    asked = stored(asked, "asked")
-    asks = {r["dim"]: r["n"] for r in asked.groupBy("dim").agg((F.max("ask") + 1).alias("n")).collect()}  # one row per length
-    if not asks:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    many = F.create_map(*[F.lit(v) for d, n in asks.items() for v in (d, n)])
-    # every block of candidates meets every block of queries: a stated query set against all rows
-    met = (blocks.withColumn("n_asks", F.element_at(many, F.col("dim"))).where("n_asks is not null")
-           .withColumn("ask", F.explode(F.sequence(F.lit(0), F.col("n_asks") - 1))).join(asked, ["dim", "ask"])
-           .repartition(F.col("dim"), F.col("ask"), F.col("block")))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _order_key(score: int) -> bytes | None:
+    """Bytes that sort as the score does, where the range of long may not hold it."""
+    return (score + (1 << 2300)).to_bytes(290, "big") if abs(score) >= LONG // 2 else None
+
+
+def _matrix(data: bytes, rows: int, dim: int, kind: str) -> np.ndarray:
+    return np.frombuffer(data, kind).reshape(rows, dim)
+
+
+def _pass(blocks: DataFrame, dim: int, asked: list, k: int) -> DataFrame:
+    """The best ``k`` rows of ``blocks`` for the queries of a pass."""
+    spark = blocks.sparkSession
+    own = np.concatenate([np.frombuffer(r["ids"], "<i8") for r in asked])
+    queries = np.concatenate([_matrix(r["values"], len(r["ids"]) // 8, dim, "<f8") for r in asked])
+    sent = spark.sparkContext.broadcast((own, queries))  # QUERY_BYTES at most, or one pack
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, queries = sent.value
+        best: list[Best] | None = None
         for batch in batches:
-            for r in batch.itertuples(index=False):
-                ids, own = np.frombuffer(r.ids, "<i8"), np.frombuffer(r.q_ids, "<i8")
-                values, q = (np.frombuffer(v, "<f8").reshape(-1, r.dim) if r.dim else np.zeros((m, 0)) for v, m in ((r.values, len(ids)), (r.q_values, len(own))))
-                lists = np.frombuffer(r.lists, "<i4").reshape(-1, r.dim) if r.dim else np.zeros((len(ids), 0), np.int32)
-                number, found, score = threshold_search(ids, values, lists, own, q, k)
-                # equal ids in a query block are searched alike; rank them by where they stand
-                yield pd.DataFrame({"asked": number + int(r.ask) * (1 << 32), "dim": r.dim, "query_id": own[number], "vec_id": found, "score": score})
-    best = met.select("dim", "ask", "ids", "values", "lists", "q_ids", "q_values").mapInPandas(run, "asked long, dim int, query_id long, vec_id long, score long")
-    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("asked", "dim").orderBy(F.desc("score"), "vec_id")))
+            for ids, values, lists in zip(*(batch.column(c) for c in ("ids", "values", "lists"))):
+                ids = np.frombuffer(ids.as_buffer(), "<i8")
+                best = threshold_search(ids, _matrix(values.as_buffer(), len(ids), dim, "<f8"), _matrix(lists.as_buffer(), len(ids), dim, "<i4"),
+                                        own, queries, k, best)
+        for first in range(0, len(best or []), 4096):
+            part = best[first:first + 4096]
+            number = np.repeat(np.arange(first, first + len(part)), [len(b.ids) for b in part])
+            scores = [int(s) for b in part for s in b.scores]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(number), pa.array(own[number]), pa.array(np.concatenate([b.ids for b in part])),
+                 pa.array([min(max(s, -LONG), LONG - 1) for s in scores], pa.int64()), pa.array([_order_key(s) for s in scores], pa.binary())],
+                ["asked", "query_id", "vec_id", "score", "key"])
+    here = blocks.where(F.col("dim") == dim).select("ids", "values", "lists")
+    found = here.coalesce(tasks(spark)).mapInArrow(run, "asked long, query_id long, vec_id long, score long, key binary")
+    # rows of one id that asks twice are told apart by their number
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("asked").orderBy(F.desc("score"), F.desc("key"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS,
+          query_bytes: int = QUERY_BYTES) -> DataFrame:
+    """For each query row the ``k`` best rows of ``vectors``: query_id, rank, vec_id, score."""
+    spark = vectors.sparkSession
+    blocks = stored(_packed(quantised(vectors), block_rows, True), "blocks")
+    asked = stored(_packed(quantised(queries), query_rows, False), "asked")
+    out = fresh_path(spark, "top_k")
+    schema = "query_id long, rank int, vec_id long, score long"
+    spark.createDataFrame([], schema).write.parquet(out)
+    packs = {r["dim"]: r["n"] for r in asked.groupBy("dim").agg((F.max("block") + 1).alias("n")).collect()}  # one row per length
+    for dim, n in sorted(packs.items()):
+        at_once = max(1, query_bytes // (8 * query_rows * (dim + 1)))
+        for first in range(0, n, at_once):
+            rows = asked.where((F.col("dim") == dim) & F.col("block").between(first, first + at_once - 1)).orderBy("block").collect()
+            if rows:
+                _pass(blocks, dim, rows, k).write.mode("append").parquet(out)
+    return spark.read.schema(schema).parquet(out)
