@@ -2,9 +2,9 @@
 
 Features are the relative frequencies of hashed runs of three bytes of the whole text (A-Z
 lower-cased, a blank before and after). Families are voted on by one-versus-one SVMs as well. A
-language that ``FAMILIES`` does not list is a family of its own. Learning uses at most
-``PER_LANGUAGE`` texts of each language, drawn by hash; their feature vectors go to the driver,
-and the model is a few weight vectors that travel with the tasks.
+language that ``FAMILIES`` does not list is a family of its own. Learning uses the
+``PER_LANGUAGE`` different texts of each language whose hashes are least, all if fewer; copies of a text count once.
+Their feature vectors go to the driver, and the model is a few weight vectors that travel with the tasks.
 
 A NULL text, or one without a letter, is ``und`` with score 0. Without anything to learn from every
 text is. With one language known every other text is that one. Rows with NULL as language teach nothing. Equal
@@ -20,7 +20,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackspark.llm.common import runs
@@ -29,6 +29,8 @@ from trackspark.llm.words import LOWER, utf8
 #: documented bound: texts of a language that are learned from
 PER_LANGUAGE = 400
 BINS = 4096
+#: texts are drawn by their place among so many hashes
+DRAWS = 1 << 62
 UNDETERMINED = "und"
 
 #: Families of languages by ISO 639-1 code.
@@ -127,15 +129,25 @@ def _vote(names: list[str], margin: dict, n: int, prefix: str) -> tuple[np.ndarr
     return np.asarray(names, object)[best], 1 / (1 + np.exp(-4 * np.clip(narrow[best, np.arange(n)], -5, 5)))
 
 
+def _drawn(known: DataFrame, per_language: int) -> DataFrame | None:
+    """lang and text of the ``per_language`` texts of each language with the least hashes."""
+    drawn = known.withColumns({"draw": F.xxhash64("text").bitwiseAND(DRAWS - 1), "draw2": F.xxhash64(F.lit(1), "text")})
+    counts = {r["lang"]: r["n"] for r in drawn.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n")).collect()}  # one row per language
+    if not counts:
+        return None
+    # twice what is wanted passes, so that the estimate may be wrong by half; copies meet in the map-side half of the grouping
+    bound = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int(DRAWS * min(1.0, 2 * per_language / max(1, n))))])
+    once = drawn.where(F.col("draw") < F.element_at(bound, F.col("lang"))).dropDuplicates(["lang", "draw", "draw2"])
+    ranked = once.withColumn("at", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "draw2")))
+    return ranked.where(F.col("at") <= per_language).select("lang", "text")
+
+
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Fit to text and lang of ``docs``, which holds training rows only."""
     known = docs.where("text is not null and lang is not null").select("text", F.col("lang").cast("string").alias("lang"))
-    drawn = known.withColumn("draw", F.pmod(F.xxhash64("text"), F.lit(1 << 30)))
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # one row per language
-    if not counts:
+    sample = _drawn(known, per_language)
+    if sample is None:
         return Model({}, [])
-    bound = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int((1 << 30) * min(1.0, per_language / n)))])
-    sample = drawn.where(F.col("draw") < F.element_at(bound, F.col("lang"))).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
