@@ -10,7 +10,7 @@ computed in Spark over it, and what reaches the driver is at most that many shor
 reads whole texts in runs of bounded size.
 
 NULL and empty texts are scored like a text without known words. A label that is NULL is no label; an id with
-several labels counts as each. Without labelled rows of both kinds the score is their share (0.5 without any).
+several labels counts once, as toxic if one of them says so, and one with several texts teaches one of them. Without labelled rows of both kinds the score is their share (0.5 without any).
 Repeated rows get equal scores; other columns are not read.
 """
 
@@ -33,6 +33,8 @@ VOCABULARY = 4096
 LEAST_TEXTS = 5
 #: standard errors by which a word's share of toxic texts has to differ from the mean
 TELLING = 5.0
+#: labels are drawn by their place among so many hashes
+DRAWS = 1 << 62
 
 #: Terms naming groups, by kind; a term is swapped for the others of its kind.
 IDENTITY_TERMS = {
@@ -119,6 +121,21 @@ def _sentence_swaps(text: str, hashes: np.ndarray, swaps: dict[int, list[int]])
     return [x for pair in out for x in pair]
 
 
+def _marked(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
+    """toxic and text of at most ``rows`` labelled documents, those whose ids have the least hashes."""
+    marked = (labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("id"))
+              .agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).cast("long").alias("toxic"))
+              .withColumn("draw", F.xxhash64("id").bitwiseAND(DRAWS - 1)))
+    total = marked.count()
+    if total > rows:  # some more than wanted by hash, and of those the first
+        marked = marked.where(F.col("draw") < int(DRAWS * min(1.0, 1.2 * rows / total + 1000 / total))).orderBy("draw", "id").limit(rows)
+    # ``rows`` labels at most, so they go to the texts and not the texts to them
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(marked), F.col("doc_id") == F.col("id"))
+    # an id that repeats teaches once, with the text whose hash is least
+    return (chosen.withColumn("text", F.struct(F.xxhash64("text").alias("hash"), "text"))
+            .groupBy("id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")).select("toxic", "text.text"))
+
+
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, counterfactual: float = 10.0, ridge: float = 1.0,
           groups: dict[str, list[str]] | None = None) -> Model:
     """Fit to the texts of ``docs`` that ``labels`` (doc_id, toxic) marks. Both hold training rows only.
@@ -126,14 +143,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, counterfac
     ``groups`` names the terms that are swapped for one another, lower-case words by kind.
     """
     groups = IDENTITY_TERMS if groups is None else groups
-    marked = (labels.where("toxic is not null and doc_id is not null")
-              .select("doc_id", F.when(F.col("toxic") > 0, 1).otherwise(0).cast("long").alias("toxic")))
-    total = marked.count()
-    if total > rows:  # the share that gives the bound, by hash
-        marked = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * rows / total))
-    # about ``rows`` labels at most, so they go to the texts and not the texts to them
-    marked = stored(docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id"), "marked")
-    sample = marked.select("toxic", "text")
+    sample = stored(_marked(docs, labels, rows), "marked")
     seen = sample.groupBy("toxic").count().collect()
     n = {r["toxic"]: r["count"] for r in seen}
     if not n.get(0) or not n.get(1):
