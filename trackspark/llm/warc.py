@@ -5,17 +5,18 @@ framing. A block longer than ``segment_bytes`` is cut: the first part keeps the
 segment 1, the rest are ``continuation`` records that name their origin, and the last one carries the
 total length. Of pages with equal payloads of ``revisit_bytes`` or more the one with the largest id is
 ``response``; the others are ``revisit`` records, which have HTTP headers only: they state digest and
-length and refer to the response. Spark's text writer joins the records; its line separator is the end
-of a WARC record, and each file is one gzip member.
+length and refer to the response. Every record is a gzip member of its own, so a record can be read from its
+offset. A member ends with its length in four bytes, the last of which is zero below 16 MB; Spark's text writer
+puts that byte there as its line separator, so files are members and nothing else. A file holds at most ``FILE_BYTES`` of records.
 
-Reading. Files are read whole (they hold ``records_per_file`` records at most) and cut into records by
-Content-Length. Complete records are decoded where they are. Parts are grouped by origin and ordered by
+Reading. Files are read whole, a member at a time, and cut into records by Content-Length. Complete records are decoded where they are. Parts are grouped by origin and ordered by
 segment number; numbers must run from 1 to the last, and lengths must add up to the stated total. Then
 chunked framing is removed, and the digest is checked. Anything amiss raises.
 
-A NULL html is an empty payload. Rows with NULL as page_id are records too, told apart by their
-digest. Rows that repeat an id and a payload are written and read back as often as they occur, and where
-they hold the largest id each is a response. An empty table gives no records. Other columns are not read.
+A NULL html is an empty payload. Record ids hold the page_id, the payload's digest and a number of the row, so rows that
+repeat an id, NULL ids and repeated rows are records of their own and no group is larger than one page. They are read back as often as they occur, and
+where they hold the largest id each is a response; revisits refer to one of them. Numbers come from where a row stands, so ``pages`` should be
+a stored table: of one that is computed anew each time, a revisit still names page and payload it refers to, but maybe another number. An empty table gives no records. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,8 +33,11 @@ from trackspark.llm.common import runs, same
 
 SEGMENT_BYTES = 16 << 10
 CHUNK_BYTES = 4 << 10
-RECORDS_PER_FILE = 2000
-_END = "\r\n\r\n"
+_PIECE = 32 << 10
+FILE_BYTES = 32 << 20
+#: room for the headers of a record, of which a file needs an estimate only
+_HEAD_BYTES = 512
+_END = b"\r\n\r\n"
 _RECORD = "record_id string, origin string, segment int, total long, kind string, page_id long, refers_to long, digest string, block binary"
 _NAMES = ["record_id", "origin", "segment", "total", "kind", "page_id", "refers_to", "digest", "block"]
 _TYPES = [pa.string(), pa.string(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
@@ -68,17 +72,27 @@ def _record(headers: list[tuple[str, object]], block: bytes) -> bytes:
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block
 
 
-def _name(page_id: int | None, digest: str) -> str:
-    return f"<urn:page:{'' if page_id is None else page_id}:{digest}>"
+def _member(record: bytes) -> bytes:
+    """The record as a gzip member, less its last byte, which is zero."""
+    packer = zlib.compressobj(1, zlib.DEFLATED, 31)
+    data = packer.compress(record + _END) + packer.flush()
+    if data[-1]:
+        raise ValueError(f"a record of {len(record)} bytes is too long for an archive; segments have to be shorter")
+    return data[:-1]
 
 
-def _page_records(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, segment_bytes: int) -> list[bytes]:
-    name = _name(page_id, digest)
+def _name(page_id: int | None, digest: str, number: int) -> str:
+    return f"<urn:page:{'' if page_id is None else page_id}:{digest}:{number}>"
+
+
+def _page_records(page_id: int | None, url: str | None, payload: bytes, digest: str, number: int, refers_to: int | None,
+                  refers_number: int | None, segment_bytes: int) -> list[bytes]:
+    name = _name(page_id, digest, number)
     about = [("WARC-Target-URI", (url or "").replace("\r", "%0D").replace("\n", "%0A") or None), ("WARC-Date", "1970-01-01T00:00:00Z"),
              ("WARC-Payload-Digest", f"sha1:{digest}"), ("Content-Type", "application/http; msgtype=response")]
     status = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
     if refers_to is not None:
-        head = [("WARC-Type", "revisit"), ("WARC-Record-ID", name), ("WARC-Refers-To", _name(refers_to, digest)),
+        head = [("WARC-Type", "revisit"), ("WARC-Record-ID", name), ("WARC-Refers-To", _name(refers_to, digest, refers_number)),
                 ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), *about]
         return [_record(head, status + b"Content-Length: %d\r\n\r\n" % len(payload))]
     block = status + b"Transfer-Encoding: chunked\r\n\r\n" + _chunked(payload)
@@ -95,52 +109,64 @@ def _page_records(page_id: int | None, url: str | None, payload: bytes, digest:
 
 
 def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES, revisit_bytes: int = 1000,
-                   records_per_file: int = RECORDS_PER_FILE) -> None:
+                   file_bytes: int = FILE_BYTES) -> None:
     """Write ``pages`` (page_id, url, html) below ``path``."""
     url = F.col("url").cast("string") if "url" in pages.columns else F.lit(None).cast("string")
     made = pages.select(F.col("page_id").cast("long").alias("page_id"), url.alias("url"),
-                        F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
+                        F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"), F.monotonically_increasing_id().alias("number"))
     made = made.withColumns({"digest": F.sha1("payload"), "same_as": F.when(F.octet_length("payload") >= revisit_bytes, F.sha2("payload", 256))})
     # groups of copies only; map-side combined, so a large group is one row for each task
-    copies = (made.where("same_as is not null").groupBy("same_as").agg(F.max("page_id").alias("latest"), F.count("*").alias("n"))
-              .where("n > 1 and latest is not null").select(F.col("same_as").alias("copied"), "latest"))
+    # the largest id is never NULL where there is another, as NULL is least
+    copies = (made.where("same_as is not null").groupBy("same_as").agg(F.max(F.struct("page_id", "number")).alias("last"), F.count("*").alias("n"))
+              .where("n > 1 and last.page_id is not null")
+              .select(F.col("same_as").alias("copied"), F.col("last.page_id").alias("latest"), F.col("last.number").alias("latest_number")))
+    later = ~same(F.col("page_id"), F.col("latest"))
     placed = made.join(copies, made["same_as"] == copies["copied"], "left").select(
-        "page_id", "url", "payload", "digest", F.when(~same(F.col("page_id"), F.col("latest")), F.col("latest")).alias("refers_to"))
+        "page_id", "url", "payload", "digest", "number", F.when(later, F.col("latest")).alias("refers_to"),
+        F.when(later, F.col("latest_number")).alias("refers_number"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in runs(batch, "payload"):
-                records = [x for row in zip(*(c.to_pylist() for c in part.columns)) for x in _page_records(*row, segment_bytes)]
+                records = [_member(x) for row in zip(*(c.to_pylist() for c in part.columns)) for x in _page_records(*row, segment_bytes)]
                 yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], ["record"])
     (placed.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("record"))
-     .write.option("lineSep", _END).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
-     .option("maxRecordsPerFile", records_per_file).text(path))
+     .write.option("lineSep", "\0").option("maxRecordsPerFile", max(1, file_bytes // (segment_bytes + _HEAD_BYTES))).text(path))
 
 
 def cut_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers (names in lower case) and block of each record."""
     at = 0
     while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
+        end = data.index(_END, at)
         lines = data[at:end].decode().split("\r\n")
         if not lines[0].startswith("WARC/"):
             raise ValueError(f"no record where one should begin: {lines[0][:40]!r}")
         headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-        begin = end + 4
+        begin = end + len(_END)
         at = begin + int(headers["content-length"])
-        if len(data) < at + 4 or data[at:at + 4] != b"\r\n\r\n":
+        if data[at:at + len(_END)] != _END:
             raise ValueError("a record is cut short")
         yield headers, data[begin:at]
-        at += 4
-
-
-def _gunzip(content: bytes) -> bytes:
-    out = []
-    while content:
-        d = zlib.decompressobj(31)
-        out.append(d.decompress(content))
-        content = d.unused_data
-    return b"".join(out)
+        at += len(_END)
+
+
+def members(content: bytes) -> Iterator[bytes]:
+    """What each gzip member of a file holds; a file that is not packed is one."""
+    if content[:2] != b"\x1f\x8b":
+        yield content
+        return
+    view, at = memoryview(content), 0
+    while at < len(view):
+        # a member is found without copying what follows it
+        unpack, parts = zlib.decompressobj(31), []
+        while not unpack.eof:
+            if at >= len(view):
+                raise ValueError("an archive ends within a record")
+            piece = view[at:at + _PIECE]
+            parts.append(unpack.decompress(piece))
+            at += len(piece) - len(unpack.unused_data)
+        yield b"".join(parts)
 
 
 def _page_of(name: str | None) -> int | None:
@@ -152,10 +178,9 @@ def _parse(whole: bool):
     """Records of files: only complete ones if ``whole``, else only those in segments."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-                data = content.as_py()
+            for content in batch.column("content"):
                 rows, held = [], 0
-                for h, block in cut_records(_gunzip(data) if path.endswith(".gz") else data):
+                for h, block in (record for data in members(content.as_py()) for record in cut_records(data)):
                     if ("warc-segment-number" not in h) != whole:
                         continue
                     name = h["warc-record-id"]
@@ -215,7 +240,7 @@ def _joined_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row per record: page_id, record_type, refers_to, payload_bytes, payload_digest, payload (NULL for revisits)."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").load(path).select("content")
     parts = F.struct("segment", "total", "kind", "page_id", "refers_to", "digest", "block")
     # a group is one record; it holds its segments, which fit a task as the record does
     joined = (files.mapInArrow(_parse(False), _RECORD).groupBy("origin").agg(F.array_sort(F.collect_list(parts)).alias("parts"))
