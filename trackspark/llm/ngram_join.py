@@ -43,6 +43,10 @@ REPEATS_FROM = 8 << 20
 CLASS_RATIO = 1.25
 BLOCK_WEIGHT = 1 << 18
 LEAST_WEIGHT = 512
+#: keys that are brought together at a time, keys of a shuffled row, and most partitions of that shuffle
+BUCKET_KEYS = 1 << 20
+PACK_KEYS = 128
+MOST_PARTITIONS = 20_000
 #: broadcast candidate ids up to so many, join by shuffle above
 BROADCAST_ROWS = 2_000_000
 
@@ -161,11 +165,74 @@ def _keyed(n: int, rule: Overlap, common):
     return run
 
 
+def _ends(keys: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each key with the least and, if that is another, the greatest of its sets."""
+    order = np.lexsort((ones, keys))
+    keys, ones = keys[order], ones[order]
+    first = np.append(True, keys[1:] != keys[:-1])[:len(keys)]
+    last = np.append(first[1:], True)[:len(keys)]
+    starts = np.flatnonzero(first)
+    keep = first | (last & (ones != ones[starts][np.cumsum(first) - 1]))
+    return keys[keep], ones[keep]
+
+
+def _packed_keys(buckets: int):
+    """Keys with their sets, those of a bucket together in rows of bounded size."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("keys")
+            offsets, ones, start = lists.offsets.to_numpy(), batch.column("one").to_numpy(), 0
+            while start < batch.num_rows:
+                stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + BUCKET_KEYS, "right")) - 1)
+                flat = lists.values.to_numpy()[offsets[start]:offsets[stop]]
+                keys, owner = _ends(flat, np.repeat(ones[start:stop], np.diff(offsets[start:stop + 1])))
+                start = stop
+                if not len(keys):
+                    continue
+                bucket = ((keys.view(np.uint64) >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                bucket, pairs = bucket[order], np.stack([keys, owner], 1)[order]
+                begin = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+                size = np.diff(np.append(begin, len(bucket)))
+                cuts = np.concatenate([np.arange(a, a + n, PACK_KEYS) for a, n in zip(begin.tolist(), size.tolist())])
+                ends = np.append(cuts[1:], len(bucket))
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts]), pa.array([pairs[a:b].tobytes() for a, b in zip(cuts.tolist(), ends.tolist())],
+                                                                                    pa.binary())], ["bucket", "pairs"])
+    return run
+
+
+def _merged_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys that several sets have, each with the least of these; rows come sorted by bucket."""
+    def shared() -> pa.RecordBatch:
+        keys, ones = _ends(*np.concatenate(held).T) if held else (np.zeros(0, np.int64),) * 2
+        several = np.flatnonzero(keys[1:] == keys[:-1])  # least and greatest stand next to each other
+        return pa.RecordBatch.from_arrays([pa.array(keys[several]), pa.array(ones[several])], ["key", "first"])
+
+    now, held, count = None, [], 0
+    for batch in batches:
+        for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("pairs").to_pylist()):
+            if bucket != now:
+                yield shared()
+                now, held, count = bucket, [], 0
+            held.append(np.frombuffer(data, np.int64).reshape(-1, 2))
+            count += len(held[-1])
+            if count > 4 * BUCKET_KEYS:  # a key that very many texts hold stays two entries
+                held = [np.stack(_ends(*np.concatenate(held).T), 1)]
+                count = len(held[0])
+    yield shared()
+
+
+def _shared_keys(keyed: DataFrame) -> DataFrame:
+    """key and the first set that has it, of the keys that several sets have."""
+    total = keyed.agg(F.sum(F.size("keys")).alias("n")).first()["n"] or 0
+    buckets = -(-total // BUCKET_KEYS) or 1
+    packs = keyed.select("one", "keys").mapInArrow(_packed_keys(buckets), "bucket long, pairs binary")
+    return packs.repartition(min(buckets, MOST_PARTITIONS), "bucket").sortWithinPartitions("bucket").mapInArrow(_merged_keys, "key long, first long")
+
+
 def _candidate_edges(keyed: DataFrame) -> DataFrame:
     """(a, b): a document's set and the first set that shares one of its keys, both by 64 bits."""
-    keys = keyed.select(F.explode("keys").alias("key"), "one")
-    shared = stored(keys.groupBy("key").agg(F.min("one").alias("first"), F.max("one").alias("last")).where("first <> last")
-                    .select("key", "first"), "shared")
+    shared = stored(_shared_keys(keyed), "shared")
     spark = keyed.sparkSession
     bitmap = spark.sparkContext.broadcast(key_bitmap(shared))  # 16 MB at any size of the corpus
 
