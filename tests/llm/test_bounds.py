@@ -82,3 +82,24 @@ def test_op9_on_held_out_labels(spark):
     clean = [r.predicted for r in rows if not truth[r.doc_id]]
     print("recall", sum(toxic), len(toxic), "false alarms", sum(clean), len(clean))
     assert sum(toxic) >= 0.7 * len(toxic) and sum(clean) <= 0.02 * len(clean)
+
+
+def test_op4_shared_keys_over_many_buckets(spark, monkeypatch):
+    from trackspark.llm import ngram_join
+
+    rows = [(R.randrange(-40, 40), [R.randrange(-2 ** 63, 2 ** 63) if R.random() < 0.5 else R.randrange(-3, 60) << 20 for _ in range(R.randrange(9))])
+            for _ in range(900)]
+    have = {}
+    for one, keys in rows:
+        for key in keys:
+            have.setdefault(key, set()).add(one)
+    want = sorted((key, min(ones)) for key, ones in have.items() if len(ones) > 1)
+    for size, pack in ((1 << 20, 128), (50, 4)):
+        monkeypatch.setattr(ngram_join, "BUCKET_KEYS", size)
+        monkeypatch.setattr(ngram_join, "PACK_KEYS", pack)
+        df = spark.createDataFrame(rows, "one long, keys array<long>").repartition(5)
+        parts = [b for batch in df.toArrow().to_batches() for b in ngram_join._packed_keys(7)(iter([batch]))]
+        table = ngram_join.pa.Table.from_batches(parts).sort_by("bucket").combine_chunks()
+        merged = [r for b in ngram_join._merged_keys(iter(table.to_batches(max_chunksize=11))) for r in zip(*b.to_pydict().values())]
+        assert sorted(merged) == want
+        assert sorted(map(tuple, ngram_join._shared_keys(df).collect())) == want
