@@ -13,10 +13,21 @@ from trackspark.session import fresh_path
 
 #: Rows of an Arrow batch are worked on in runs of at most so many bytes of text (or one row).
 RUN_BYTES = 1 << 20
+#: Arrow batches between the JVM and Python hold at most so many bytes (or one row).
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's limit of Arrow batches to ``BATCH_BYTES``; a lower one stays."""
+    now = spark.conf.get(_BATCH_SETTING).lower()
+    if not now.rstrip("b").isdigit() or not 0 < int(now.rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: computed once, whatever uses it."""
+    bound_batches(df.sparkSession)
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -41,6 +52,7 @@ def runs(batch: pa.RecordBatch, column: str, limit: int = RUN_BYTES) -> Iterator
         total += size
     if start < len(sizes):
         yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # workers outlive their tasks; what was freed goes back
 
 
 def running_total(df: DataFrame, order: Sequence[str], value: str, out: str) -> DataFrame:

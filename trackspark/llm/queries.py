@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackspark.llm import language, toxicity
+from trackspark.llm.common import bound_batches
 from trackspark.llm.conversations import damaged, repair_report
 from trackspark.llm.decontaminate import decontaminate, hit_words
 from trackspark.llm.lexical import lexical_search
@@ -25,6 +26,7 @@ TOKENIZER = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

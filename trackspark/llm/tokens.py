@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackspark.llm.common import running_total, runs, stored
+from trackspark.llm.common import bound_batches, running_total, runs, stored
 from trackspark.llm.words import mix
 
 END_ID = 1
@@ -252,6 +252,7 @@ def shard_bytes(ids: np.ndarray, sizes: np.ndarray, keys: np.ndarray, missing: n
 
 def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, limit: int = SHARD_BYTES) -> None:
     """Encode ``docs`` with the tokenizer file ``tokenizer`` and write shards below ``path``."""
+    bound_batches(docs.sparkSession)
     described = Path(tokenizer).read_text()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
