@@ -43,8 +43,9 @@ REPEATS_FROM = 8 << 20
 CLASS_RATIO = 1.25
 BLOCK_WEIGHT = 1 << 18
 LEAST_WEIGHT = 512
-#: keys that are brought together at a time, keys of a shuffled row, and most partitions of that shuffle
-BUCKET_KEYS = 1 << 20
+#: keys that are looked at together, keys of a bucket and of a shuffled row, and most partitions of that shuffle
+KEYS_FROM = 1 << 18
+BUCKET_KEYS = 1 << 19
 PACK_KEYS = 128
 MOST_PARTITIONS = 20_000
 #: broadcast candidate ids up to so many, join by shuffle above
@@ -176,28 +177,29 @@ def _ends(keys: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[keep], ones[keep]
 
 
+def _key_slices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys of a batch with the sets that have them, at most ``KEYS_FROM`` at a time."""
+    lists, ones = batch.column("keys"), batch.column("one").to_numpy()
+    offsets, keys = lists.offsets.to_numpy(), lists.values.to_numpy()
+    for a in range(int(offsets[0]), int(offsets[-1]), KEYS_FROM):
+        b = min(a + KEYS_FROM, int(offsets[-1]))
+        yield keys[a:b], ones[np.searchsorted(offsets, np.arange(a, b), "right") - 1]
+
+
 def _packed_keys(buckets: int):
     """Keys with their sets, those of a bucket together in rows of bounded size."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("keys")
-            offsets, ones, start = lists.offsets.to_numpy(), batch.column("one").to_numpy(), 0
-            while start < batch.num_rows:
-                stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + BUCKET_KEYS, "right")) - 1)
-                flat = lists.values.to_numpy()[offsets[start]:offsets[stop]]
-                keys, owner = _ends(flat, np.repeat(ones[start:stop], np.diff(offsets[start:stop + 1])))
-                start = stop
-                if not len(keys):
-                    continue
-                bucket = ((keys.view(np.uint64) >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                bucket, pairs = bucket[order], np.stack([keys, owner], 1)[order]
-                begin = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-                size = np.diff(np.append(begin, len(bucket)))
-                cuts = np.concatenate([np.arange(a, a + n, PACK_KEYS) for a, n in zip(begin.tolist(), size.tolist())])
-                ends = np.append(cuts[1:], len(bucket))
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts]), pa.array([pairs[a:b].tobytes() for a, b in zip(cuts.tolist(), ends.tolist())],
-                                                                                    pa.binary())], ["bucket", "pairs"])
+        for keys, owner in (part for batch in batches for part in _key_slices(batch)):
+            keys, owner = _ends(keys, owner)
+            bucket = ((keys.view(np.uint64) >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            bucket, pairs = bucket[order], np.stack([keys[order], owner[order]], 1)
+            begin = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            size = np.diff(np.append(begin, len(bucket)))
+            cuts = np.concatenate([np.arange(a, a + n, PACK_KEYS) for a, n in zip(begin.tolist(), size.tolist())])
+            ends = np.append(cuts[1:], len(bucket))
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts]), pa.array([pairs[a:b].tobytes() for a, b in zip(cuts.tolist(), ends.tolist())],
+                                                                                pa.binary())], ["bucket", "pairs"])
     return run
 
 
@@ -216,7 +218,7 @@ def _merged_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 now, held, count = bucket, [], 0
             held.append(np.frombuffer(data, np.int64).reshape(-1, 2))
             count += len(held[-1])
-            if count > 4 * BUCKET_KEYS:  # a key that very many texts hold stays two entries
+            if count > 2 * BUCKET_KEYS:  # a key that very many texts hold stays two entries
                 held = [np.stack(_ends(*np.concatenate(held).T), 1)]
                 count = len(held[0])
     yield shared()
@@ -238,12 +240,9 @@ def _candidate_edges(keyed: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value
-        for batch in batches:
-            lists = batch.column("keys")
-            flat = lists.flatten().to_numpy()
-            owner = np.repeat(batch.column("one").to_numpy(), np.diff(lists.offsets.to_numpy()))
-            hit = may_hold(bits, flat)
-            yield pa.RecordBatch.from_arrays([pa.array(flat[hit]), pa.array(owner[hit])], ["key", "one"])
+        for keys, owner in (part for batch in batches for part in _key_slices(batch)):
+            hit = may_hold(bits, keys)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[hit]), pa.array(owner[hit])], ["key", "one"])
     maybe = keyed.select("one", "keys").mapInArrow(run, "key long, one long")
     return maybe.join(shared, "key").where("one <> first").select(F.col("one").alias("a"), F.col("first").alias("b"))
 
