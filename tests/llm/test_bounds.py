@@ -95,6 +95,7 @@ def test_op4_shared_keys_over_many_buckets(spark, monkeypatch):
             have.setdefault(key, set()).add(one)
     want = sorted((key, min(ones)) for key, ones in have.items() if len(ones) > 1)
     for size, pack in ((1 << 20, 128), (50, 4)):
+        monkeypatch.setattr(ngram_join, "KEYS_FROM", size)
         monkeypatch.setattr(ngram_join, "BUCKET_KEYS", size)
         monkeypatch.setattr(ngram_join, "PACK_KEYS", pack)
         df = spark.createDataFrame(rows, "one long, keys array<long>").repartition(5)
@@ -103,3 +104,31 @@ def test_op4_shared_keys_over_many_buckets(spark, monkeypatch):
         merged = [r for b in ngram_join._merged_keys(iter(table.to_batches(max_chunksize=11))) for r in zip(*b.to_pydict().values())]
         assert sorted(merged) == want
         assert sorted(map(tuple, ngram_join._shared_keys(df).collect())) == want
+
+
+def test_key_slices_are_whole_and_bounded(monkeypatch):
+    from trackspark.llm import ngram_join
+
+    rows = [(i, [R.randrange(1000) for _ in range(n)]) for i, n in enumerate([0, 7, 0, 0, 1, 30, 2, 0])]
+    pa = ngram_join.pa
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([k for _, k in rows], pa.list_(pa.int64()))], ["one", "keys"])
+    monkeypatch.setattr(ngram_join, "KEYS_FROM", 8)
+    for part, some in ((batch, rows), (batch.slice(1, 5), rows[1:6]), (batch.slice(2, 2), []), (batch.slice(0, 0), [])):
+        slices = [(k.tolist(), o.tolist()) for k, o in ngram_join._key_slices(part)]
+        assert [p for k, o in slices for p in zip(o, k)] == [(i, k) for i, keys in some for k in keys]
+        assert all(len(k) <= 8 for k, _ in slices)
+
+
+def test_arrow_batches_are_bounded_and_a_lower_limit_stays(spark):
+    from trackspark.llm.common import BATCH_BYTES, bound_batches
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for value, want in (("64m", str(BATCH_BYTES)), ("67108864b", str(BATCH_BYTES)), ("1g", str(BATCH_BYTES)), ("9mb", str(BATCH_BYTES)),
+                            ("4m", "4m"), ("4096", "4096"), ("4097b", "4097b")):
+            spark.conf.set(key, value)
+            bound_batches(spark)
+            assert spark.conf.get(key) == want
+    finally:
+        spark.conf.set(key, before)

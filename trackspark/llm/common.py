@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -20,8 +21,8 @@ _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 def bound_batches(spark: SparkSession) -> None:
     """Lower the session's limit of Arrow batches to ``BATCH_BYTES``; a lower one stays."""
-    now = spark.conf.get(_BATCH_SETTING).lower()
-    if not now.rstrip("b").isdigit() or not 0 < int(now.rstrip("b")) <= BATCH_BYTES:
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)i?b?", spark.conf.get(_BATCH_SETTING).strip().lower()).groups()
+    if int(number) << 10 * " kmgtp".index(unit or " ") > BATCH_BYTES:
         spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
 
 
