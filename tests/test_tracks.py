@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tests.conftest import FIRST, RUN_TS, SECOND, golden_rows, track_text, write
 from trackspark.schemas import STEP_SCHEMA
 from trackspark.plans import runs
-from trackspark.sources import parse_track_text, read_tracks
+from trackspark.sources import parse_track_text, read_tracks, tracks
 
 BOTH_WAYS = pytest.mark.parametrize("whole_file_bytes", [64 << 20, 0])
 
@@ -122,3 +122,35 @@ def test_the_tree_is_listed_once_unless_files_are_large(spark, tmp_path, whole_f
     df = read(spark, tmp_path, whole_file_bytes=whole_file_bytes)
     assert df.count() == 240
     assert files_listed(spark) - before == 240 * (1 if whole_file_bytes else 2)
+
+
+@BOTH_WAYS
+def test_users_are_read_a_few_at_a_time(spark, tmp_path, whole_file_bytes, monkeypatch):
+    names = ["a,b", "c{1}", "d[e]f", "g\\h", "u+2", "_x", "with space", "plain"]
+    for i, user in enumerate(names):
+        for j in range(i % 3 + 1):
+            write(tmp_path / "Data" / user / "Trajectory" / f"{j}.plt", track_text(FIRST))
+    (tmp_path / "Data" / "empty" / "Trajectory").mkdir(parents=True)
+    (tmp_path / "Data" / "none").mkdir()
+    parts, load = [], tracks.track_files
+
+    def seen(spark, folders):
+        parts.append(folders)
+        return load(spark, folders)
+
+    monkeypatch.setattr(tracks, "track_files", seen)
+    lines = tracks.read_track_lines(spark, str(tmp_path), whole_file_bytes, users_at_once=2)
+    assert [len(p) for p in parts] == [2, 2, 2, 2, 1]
+    whole = tracks.read_track_lines(spark, str(tmp_path), whole_file_bytes)
+    columns = ["UserId", "TrajectoryID", "line"]
+    assert rows_of(lines.select(columns)) == rows_of(whole.select(columns)) and whole.count() > 4 * len(names)
+    assert {r.UserId for r in tracks.parse_track_lines(lines).collect()} == set(names)
+    assert not tracks.has_large_files(spark, str(tmp_path), users_at_once=2)
+    assert tracks.has_large_files(spark, str(tmp_path), 100, users_at_once=2)
+
+
+def test_many_small_files_are_few_tasks(spark, tmp_path):
+    for i in range(200):
+        write(tmp_path / "Data" / "u" / "Trajectory" / f"{i}.plt", track_text(FIRST[:1]))
+    # Spark's default cost of opening a file would make seven tasks
+    assert read(spark, tmp_path).rdd.getNumPartitions() <= 4
