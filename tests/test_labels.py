@@ -182,3 +182,18 @@ def test_label_users_with_special_names(spark, tmp_path):
         write(tmp_path / "Data" / user / "labels.txt", label_text(LABELS[:1]))
     got = {r.UserId for r in read_labels(spark, str(tmp_path)).collect()}
     assert got == {"u+2", "a%b", "_x", "with space"}
+
+
+def test_label_files_a_few_at_a_time_and_opened_once(spark, tmp_path):
+    users = ["a,b", "c{1}", "d", "e"]
+    for user in users:
+        write(tmp_path / "Data" / user / "labels.txt", label_text(LABELS[:1]))
+    got = read_labels(spark, str(tmp_path), files_at_once=2)
+    for user in users:
+        (tmp_path / "Data" / user / "labels.txt").unlink()
+    assert sorted(r.UserId for r in got.collect()) == users
+    for user in users[1:]:
+        write(tmp_path / "Data" / user / "labels.txt", label_text(LABELS[:1]))
+    write(tmp_path / "Data" / "a,b" / "labels.txt", "no rows\r\n")
+    with pytest.raises(EmptyLabelsError, match="1 of 4 label files have no rows, for example .*/a,b/labels.txt"):
+        read_labels(spark, str(tmp_path), files_at_once=2)
