@@ -6,8 +6,11 @@ from pyspark.errors import AnalysisException
 from tests.conftest import FIRST, GOLDEN, LABELS, RUN_TS, at, label_text, track_text, write
 from trackspark.__main__ import main
 from trackspark.operators import HotLimits
+from trackspark.operators.intervals import attach_labels
 from trackspark.plans import runs
 from trackspark.sources import EmptyLabelsError, geo_table_sql, read_geo_table
+from trackspark.sources.labels import read_labels
+from trackspark.sources.tracks import parse_track_lines
 from trackspark.streaming.source import arriving_lines
 from trackspark.streaming import ingest_incremental
 
@@ -124,6 +127,39 @@ def test_incremental_ingest_in_bounded_batches(spark, tree, tmp_path):
     assert len([p for p in (out / "_spark_metadata").iterdir() if p.name.isdigit()]) == 2
 
 
+def test_label_join_of_a_stream_reads_a_table_not_single_tracks(spark, tree, tmp_path):
+    state = tmp_path / "state"
+    ingest_incremental(spark, str(tree), str(tmp_path / "table"), str(state))
+    sources = "".join(p.read_text() for p in (state / "sources").rglob("*") if p.is_file() and not p.name.startswith("."))
+    assert ".parquet" in sources and ".plt" not in sources
+
+
+def test_steps_of_a_call_that_failed_before_labelling_are_not_lost(spark, tree, tmp_path, monkeypatch):
+    out, state = str(tmp_path / "table"), str(tmp_path / "state")
+
+    def failing(*_):
+        raise RuntimeError("no labels today")
+
+    with monkeypatch.context() as patched:
+        patched.setattr("trackspark.streaming.incremental.attach_labels", failing)
+        with pytest.raises(RuntimeError, match="today"):
+            ingest_incremental(spark, str(tree), out, state)
+    assert ingest_incremental(spark, str(tree), out, state)
+    assert labelled(spark.read.parquet(out)) == GOLDEN_LABELLED
+    assert not ingest_incremental(spark, str(tree), out, state)
+
+
+def test_checkpoint_of_a_single_stream_goes_on(spark, tree, tmp_path):
+    out, state = str(tmp_path / "table"), str(tmp_path / "state")
+    once = attach_labels(parse_track_lines(arriving_lines(spark, str(tree))), read_labels(spark, str(tree)))
+    once.writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True).start(out).awaitTermination()
+    assert not ingest_incremental(spark, str(tree), out, state)
+    write(tree / "Data" / "009" / "Trajectory" / "new.plt", track_text(FIRST))
+    assert ingest_incremental(spark, str(tree), out, state)
+    got = labelled(spark.read.parquet(out))
+    assert [r for r in got if r[0] == "000"] == GOLDEN_LABELLED and len([r for r in got if r[0] == "009"]) == 4
+
+
 def test_run_with_a_checkpoint_can_be_repeated(spark, tree, tmp_path):
     out, state, archive = (str(tmp_path / n) for n in ("out", "state", "archive"))
     paths = [runs.run_all(spark, str(tree), out, run_id=i, checkpoint=state, archive=archive) for i in (1, 2)]
