@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 import math
+import platform
 import random
+import resource
 import zlib
+from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from trackspark.llm import language, queries as q, toxicity
+from trackspark.llm.common import runs
 from trackspark.llm.topk import top_k
 
 R = random.Random(21)
@@ -132,3 +138,16 @@ def test_arrow_batches_are_bounded_and_a_lower_limit_stays(spark):
             assert spark.conf.get(key) == want
     finally:
         spark.conf.set(key, before)
+
+
+@pytest.mark.skipif(platform.libc_ver()[0] != "glibc", reason="only glibc's heap is asked to shrink")
+def test_workers_give_back_what_a_batch_took():
+    def resident():
+        return int(Path("/proc/self/statm").read_text().split()[1]) * resource.getpagesize()
+
+    held = [np.ones(256) for _ in range(100_000)]
+    last = np.ones(256)  # keeps the end of the heap in use
+    full = resident()
+    del held
+    list(runs(pa.RecordBatch.from_pydict({"text": ["a"]}), "text"))
+    assert resident() < full - (100 << 20) and len(last)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackspark.llm.bitmap import key_bitmap, may_hold
-from trackspark.llm.common import running_total, runs, stored
+from trackspark.llm.common import give_back, running_total, runs, stored
 from trackspark.llm.components import components, join_sets
 from trackspark.llm.words import NOT_SPACE, find_words, grams, mix
 
@@ -200,6 +200,7 @@ def _packed_keys(buckets: int):
             ends = np.append(cuts[1:], len(bucket))
             yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts]), pa.array([pairs[a:b].tobytes() for a, b in zip(cuts.tolist(), ends.tolist())],
                                                                                 pa.binary())], ["bucket", "pairs"])
+        give_back()
     return run
 
 
@@ -221,7 +222,10 @@ def _merged_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if count > 2 * BUCKET_KEYS:  # a key that very many texts hold stays two entries
                 held = [np.stack(_ends(*np.concatenate(held).T), 1)]
                 count = len(held[0])
+        give_back()
     yield shared()
+    held = []
+    give_back()
 
 
 def _shared_keys(keyed: DataFrame) -> DataFrame:
@@ -243,6 +247,7 @@ def _candidate_edges(keyed: DataFrame) -> DataFrame:
         for keys, owner in (part for batch in batches for part in _key_slices(batch)):
             hit = may_hold(bits, keys)
             yield pa.RecordBatch.from_arrays([pa.array(keys[hit]), pa.array(owner[hit])], ["key", "one"])
+        give_back()
     maybe = keyed.select("one", "keys").mapInArrow(run, "key long, one long")
     return maybe.join(shared, "key").where("one <> first").select(F.col("one").alias("a"), F.col("first").alias("b"))
 
@@ -299,8 +304,11 @@ def _products(rule: Overlap):
                         yield multiply(rows)
                     now, rows = (group, left, right), []
                 rows.append((node, data))
+            give_back()
         if len(rows) > 1:
             yield multiply(rows)
+        rows = []
+        give_back()
     return run
 
 

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackspark.llm.common import bound_batches, running_total, runs, stored
+from trackspark.llm.common import bound_batches, give_back, running_total, runs, stored
 from trackspark.llm.words import mix
 
 END_ID = 1
@@ -274,6 +274,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
                     held, size, number = [], 0, number + 1
         if held:
             yield shard()
+        del encoder, held  # vocabularies and all that a task's words took
+        give_back()
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     sorted_docs = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
                    .repartitionByRange(*order).sortWithinPartitions(*order))
@@ -289,6 +291,7 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
                 data = content.as_py()
                 if data:
                     yield _entries(Shard(data))
+            give_back()
     rows = stored(spark.read.format("binaryFile").load(path).select("content")
                   .mapInArrow(run, "part int, number int, doc_id long, at long, n_tokens long, ids_crc32 long"), "entries")
     shards = rows.groupBy("part", "number").agg(F.sum("n_tokens").alias("n"))
