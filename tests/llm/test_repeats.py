@@ -6,11 +6,12 @@ import random
 import re
 import subprocess
 import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
 
-from trackspark.llm import lines, toxicity
+from trackspark.llm import lines, queries as q, toxicity
 from trackspark.llm.lines import dedup_lines
 from trackspark.llm.ngram_join import ngram_join
 from trackspark.llm.suffixes import dedup_substrings
@@ -143,3 +144,38 @@ def test_perfect_hash_is_minimal_and_leads_to_each_key(n):
         assert shard.get(int(keys[i])).tolist() == [2 * i, 2 * i + 1]
     absent = sum(shard.get(int(k)) is not None for k in range(50))
     assert absent == 0
+
+
+def encoder(**known):
+    from trackspark.llm import tokens
+
+    pytest.importorskip("tokenizers")
+    return tokens.Encoder(Path(q.tokenizer_path()).read_text(), **known)
+
+
+def test_words_are_encoded_once_whatever_texts_they_come_in():
+    import pyarrow as pa
+
+    once, asked = encoder(), []
+    inner = once._distinct
+    once._distinct = lambda words: asked.extend(words.to_pylist()) or inner(words)
+    for texts in (["House house, river;"], ["River! house$$$", None, "garden (house) 12"], ["garden house river"]):
+        once.encode(pa.array(texts))
+    assert len(asked) == len(set(asked)) and {"house", "river", "garden"} <= set(asked)
+    # marks after plain letters make no words of their own
+    assert not {"river;", "River!", "house$$$"} & set(asked)
+
+
+@pytest.mark.parametrize("known", [{}, {"known_bytes": 0}, {"known_bytes": 200}])
+def test_ids_are_the_tokenizers_own_with_any_marks_and_memory(known):
+    import pyarrow as pa
+
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    texts = [f"{w}{m} {w}{m}{n}" for w in ("tree", "\u00c9t\u00e9", "\u017dena") for m in marks for n in ("'s", "!", ",1", "<|endoftext|>", "|>")]
+    texts += [None, "", " ", "tree  tree\n\ntree", "e\u0301t\u00e9= \u0338 =\u0338", "it's. it'. 's \t'll", "x" * 5000 + "...", "tree\r\ntree&&&\tx"]
+    some = encoder(**known)
+    for i in range(0, len(texts), 300):
+        part = texts[i:i + 300]
+        ids, begin = some.encode(pa.array(part, pa.string()))
+        want = [[*some.full.encode(t or "", add_special_tokens=False).ids, 1] for t in part]
+        assert [ids[a:b].tolist() for a, b in zip(begin, begin[1:])] == want

@@ -13,9 +13,10 @@ a displacement, and with it the key falls on a slot of its own, or, in buckets o
 stored. The fingerprint in the slot tells keys that are not in the shard (but for 1 in 2^32). A key that is repeated
 leads to its first document; its others follow. Spark's text writer writes one shard per file, ended by its line separator.
 
-Encoding: texts are cut at blanks and line ends, which no token spans, and each distinct word of a batch is
-encoded once by the tokenizer. Words of plain letters (ASCII and Latin-1) skip its normaliser and splitter, which
-only lower-case them; marks that follow them are encoded apart, as the splitter does.
+Encoding: texts are cut at blanks and line ends, which no token spans, and each distinct word of a task is encoded once
+by the tokenizer; what a task knows of words is forgotten above ``KNOWN_BYTES``. Words of plain letters (ASCII and
+Latin-1) skip its normaliser and splitter, which only lower-case them; ASCII marks that follow them, other than
+apostrophes, are encoded apart, as the splitter does.
 
 NULL and empty texts have the end id alone. NULL as doc_id sorts first; such rows are in the table but have no key in the
 index. Rows that repeat an id each have an entry. Empty tables write no shard. Other columns are not read.
@@ -24,6 +25,7 @@ index. Rows that repeat an id each have an entry. Empty tables write no shard. O
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -43,20 +45,27 @@ END_ID = 1
 SHARD_BYTES = 4 << 20
 #: bytes of text whose distinct words are encoded together
 WORDS_FROM = 4 << 20
+#: bytes of words and their ids that a task keeps; above it, they are forgotten before the next texts
+KNOWN_BYTES = 16 << 20
+#: words that the tokenizer gets at once
+_AT_ONCE = 1000
+#: marks that the splitter parts from letters before them; an apostrophe may begin a piece with letters
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: buckets that search alone once so few are left, and the seeds each tries at once
 _STUBBORN, _SEEDS = 200, 256
 #: letters of the Latin-1 block: in composed form, and what lower-casing makes of them
 _LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 _LATIN_LOWER = "\u00df-\u00f6\u00f8-\u00ff"
+_LETTERS = "".join(c for c in map(chr, range(256)) if re.match(f"[A-Za-z{_LATIN}]", c))
 _SEPARATOR = "\nSHARD\n"
 _FOOTER = "<QIIIIIB7s"
 _MAGIC = b"IDSHRD1"
 
 
 class Encoder:
-    """Encodes many texts, each distinct word once."""
+    """Encodes many texts, each distinct word once while it is among the known ones."""
 
-    def __init__(self, tokenizer: str, end_id: int = END_ID):
+    def __init__(self, tokenizer: str, end_id: int = END_ID, known_bytes: int = KNOWN_BYTES):
         from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -71,6 +80,12 @@ class Encoder:
         for token, i in vocab.items():
             self.ends[i] = token.endswith("</w>")
         self.end_id = end_id
+        self.known_bytes = known_bytes
+        self._forget()
+
+    def _forget(self) -> None:
+        """Words known, their ids end to end, and where each word's begin."""
+        self.known, self.pool, self.begin = pa.array([], pa.string()), np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, each with the end id, and where each text's begin."""
@@ -94,33 +109,44 @@ class Encoder:
 
     def _words(self, names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct words end to end, and where each word's begin."""
-        base = pc.utf8_rtrim(names, ".,")
+        base = pc.utf8_rtrim(names, _MARKS)
         plain = pc.match_substring_regex(base, f"^[A-Za-z{_LATIN}]+$")
         # only words of plain letters are lower-cased and parted from the marks after them here
         keys = pc.if_else(plain, pc.utf8_lower(base), names).dictionary_encode()
-        tails = pc.if_else(plain, pc.replace_substring_regex(names, "(?s)^.*[^.,]", ""), "").dictionary_encode()
-        pools, begins, places, done = [], [], [], 0
-        for part in (keys, tails):
-            ids, size = self._distinct(part.dictionary)
-            pools.append(ids)
-            begins.append(done + np.cumsum(size) - size)
-            places.append((part.indices.to_numpy(zero_copy_only=False), size))
-            done += len(ids)
-        (key, key_size), (tail, tail_size) = places
-        sizes = np.stack([key_size[key], tail_size[tail]], 1)
-        starts = np.stack([begins[0][key], begins[1][tail]], 1)
-        pool = _ragged(np.concatenate(pools), starts.ravel(), sizes.ravel())
-        return pool, np.concatenate([[0], np.cumsum(sizes.sum(1))])
+        tails = pc.if_else(plain, pc.utf8_ltrim(names, _LETTERS), "").dictionary_encode()
+        if self.known.nbytes + self.pool.nbytes + self.begin.nbytes > self.known_bytes:
+            self._forget()
+        places = np.stack([self._places(part.dictionary)[part.indices.to_numpy(zero_copy_only=False)] for part in (keys, tails)], 1)
+        sizes = np.diff(self.begin)[places]
+        return _ragged(self.pool, self.begin[places].ravel(), sizes.ravel()), np.concatenate([[0], np.cumsum(sizes.sum(1))])
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Numbers of distinct words among the known ones; the tokenizer encodes those that are new."""
+        self.known = self.known.cast(words.type)
+        at = pc.index_in(words, value_set=self.known)
+        new = pc.is_null(at)
+        unseen = words.filter(new)
+        at = pc.fill_null(at, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        if len(unseen):
+            at[new.to_numpy(zero_copy_only=False)] = len(self.known) + np.arange(len(unseen))
+            ids, size = self._distinct(unseen)
+            self.begin = np.append(self.begin, self.begin[-1] + np.cumsum(size))
+            self.pool = np.append(self.pool, ids)
+            self.known = pa.concat_arrays([self.known, unseen])
+        return at
 
     def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         letters = pc.match_substring_regex(words, f"^[a-z{_LATIN_LOWER}]+$").to_numpy(zero_copy_only=False)
-        plain = words.filter(pa.array(letters)).to_pylist()
-        got = self.plain.encode_batch_fast([" ".join(plain[i:i + 1000]) for i in range(0, len(plain), 1000)], add_special_tokens=False)
-        ids = np.concatenate([np.asarray(e.ids, np.uint32) for e in got] or [np.zeros(0, np.uint32)])
+        plain = words.filter(pa.array(letters))
+        cuts = pa.array([*range(0, len(plain), _AT_ONCE), len(plain)], pa.int32())
+        joined = pc.binary_join(pa.ListArray.from_arrays(cuts, plain), " ").to_pylist()
+        got = [np.asarray(e.ids, np.uint32) for text in joined for e in self.plain.encode_batch_fast([text], add_special_tokens=False)]
+        ids = np.concatenate(got or [np.zeros(0, np.uint32)])
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) != len(plain):
             raise ValueError("the tokenizer does not mark the ends of words")
-        rest = [e.ids for e in self.full.encode_batch_fast(words.filter(pa.array(~letters)).to_pylist(), add_special_tokens=False)]
+        others = words.filter(pa.array(~letters)).to_pylist()
+        rest = [e.ids for i in range(0, len(others), _AT_ONCE) for e in self.full.encode_batch_fast(others[i:i + _AT_ONCE], add_special_tokens=False)]
         other = np.fromiter((x for r in rest for x in r), np.uint32)
         size = np.zeros(len(words), np.int64)
         size[letters] = np.diff(np.concatenate([[0], cuts]))
