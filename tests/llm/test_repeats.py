@@ -179,3 +179,30 @@ def test_ids_are_the_tokenizers_own_with_any_marks_and_memory(known):
         ids, begin = some.encode(pa.array(part, pa.string()))
         want = [[*some.full.encode(t or "", add_special_tokens=False).ids, 1] for t in part]
         assert [ids[a:b].tolist() for a, b in zip(begin, begin[1:])] == want
+
+
+def test_the_tasks_of_a_worker_share_their_tokenizers_and_no_words():
+    import pyarrow as pa
+
+    one = encoder()
+    one.encode(pa.array(["tree house, 12"]))
+    two = encoder()
+    assert one.full is two.full and one.plain is two.plain
+    assert len(one.known) and not len(two.known)
+
+
+def test_memory_of_a_worker_does_not_grow_with_its_tasks():
+    import pyarrow as pa
+
+    from trackspark.llm.common import give_back
+
+    def held():
+        give_back()
+        return int(re.search(r"RssAnon:\s+(\d+)", Path("/proc/self/status").read_text())[1]) / 1024
+    if not Path("/proc/self/status").exists():
+        pytest.skip("no /proc here")
+    text, seen = " ".join(f"w{i:x} {''.join(chr(97 + int(c)) for c in str(i * 7919))}" for i in range(40_000)), []
+    for _ in range(6):
+        encoder().encode(pa.array([text]))
+        seen.append(held())
+    assert seen[-1] - seen[1] < 10  # MB; a tokenizer of its own for each task left 5 to 7 behind

@@ -29,6 +29,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -44,7 +45,7 @@ from trackspark.llm.words import mix
 END_ID = 1
 SHARD_BYTES = 4 << 20
 #: bytes of text whose distinct words are encoded together
-WORDS_FROM = 4 << 20
+WORDS_FROM = 2 << 20
 #: bytes of words and their ids that a task keeps; above it, they are forgotten before the next texts
 KNOWN_BYTES = 16 << 20
 #: words that the tokenizer gets at once
@@ -62,23 +63,31 @@ _FOOTER = "<QIIIIIB7s"
 _MAGIC = b"IDSHRD1"
 
 
+@lru_cache(maxsize=1)
+def _tokenizers(described: str) -> tuple:
+    """The tokenizer, one of its model that only cuts at blanks, and which ids end a word.
+
+    A worker keeps them for its next tasks: megabytes stay in the process with each tokenizer that has encoded and is deleted.
+    """
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    full = Tokenizer.from_str(described)
+    plain = Tokenizer(full.model)
+    plain.pre_tokenizer = pre_tokenizers.Sequence([
+        pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    vocab = full.get_vocab()
+    ends = np.zeros(max(vocab.values(), default=0) + 1, bool)
+    ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+    return full, plain, ends
+
+
 class Encoder:
     """Encodes many texts, each distinct word once while it is among the known ones."""
 
     def __init__(self, tokenizer: str, end_id: int = END_ID, known_bytes: int = KNOWN_BYTES):
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.full = Tokenizer.from_str(tokenizer)
-        self.plain = Tokenizer.from_str(tokenizer)
-        self.plain.normalizer = None
-        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        vocab = self.full.get_vocab()
-        self.width = 2 if max(vocab.values(), default=0) < 1 << 16 and end_id < 1 << 16 else 4
-        self.ends = np.zeros(max(vocab.values(), default=0) + 1, bool)
-        for token, i in vocab.items():
-            self.ends[i] = token.endswith("</w>")
+        self.full, self.plain, self.ends = _tokenizers(tokenizer)
+        self.width = 2 if len(self.ends) <= 1 << 16 and end_id < 1 << 16 else 4
         self.end_id = end_id
         self.known_bytes = known_bytes
         self._forget()
@@ -94,8 +103,9 @@ class Encoder:
             flat = flat.combine_chunks()
         words = flat.flatten().dictionary_encode()
         bounds = flat.offsets.to_numpy().astype(np.int64) - flat.offsets[0].as_py()
-        which = words.indices.to_numpy(zero_copy_only=False)
-        pool, begin = self._words(words.dictionary)
+        which, names = words.indices.to_numpy(zero_copy_only=False), words.dictionary
+        del flat, words  # the texts' words, before those of them that are new are encoded
+        pool, begin = self._words(names)
         size = np.append(np.diff(begin), 1)
         pool, begin = np.append(pool, np.uint32(self.end_id)), begin  # the end id is one word more
         out, total = [], [0]
@@ -112,11 +122,12 @@ class Encoder:
         base = pc.utf8_rtrim(names, _MARKS)
         plain = pc.match_substring_regex(base, f"^[A-Za-z{_LATIN}]+$")
         # only words of plain letters are lower-cased and parted from the marks after them here
-        keys = pc.if_else(plain, pc.utf8_lower(base), names).dictionary_encode()
-        tails = pc.if_else(plain, pc.utf8_ltrim(names, _LETTERS), "").dictionary_encode()
+        keys = pc.if_else(plain, pc.utf8_lower(base), names)
+        tails = pc.if_else(plain, pc.utf8_ltrim(names, _LETTERS), "")
+        both = pa.concat_arrays([keys, tails]).dictionary_encode()
         if self.known.nbytes + self.pool.nbytes + self.begin.nbytes > self.known_bytes:
             self._forget()
-        places = np.stack([self._places(part.dictionary)[part.indices.to_numpy(zero_copy_only=False)] for part in (keys, tails)], 1)
+        places = self._places(both.dictionary)[both.indices.to_numpy(zero_copy_only=False).reshape(2, -1).T]
         sizes = np.diff(self.begin)[places]
         return _ragged(self.pool, self.begin[places].ravel(), sizes.ravel()), np.concatenate([[0], np.cumsum(sizes.sum(1))])
 
@@ -139,18 +150,22 @@ class Encoder:
         letters = pc.match_substring_regex(words, f"^[a-z{_LATIN_LOWER}]+$").to_numpy(zero_copy_only=False)
         plain = words.filter(pa.array(letters))
         cuts = pa.array([*range(0, len(plain), _AT_ONCE), len(plain)], pa.int32())
-        joined = pc.binary_join(pa.ListArray.from_arrays(cuts, plain), " ").to_pylist()
-        got = [np.asarray(e.ids, np.uint32) for text in joined for e in self.plain.encode_batch_fast([text], add_special_tokens=False)]
+        joined = pc.binary_join(pa.ListArray.from_arrays(cuts, plain), " ")
+        got = [np.asarray(e.ids, np.uint32) for text in joined for e in self.plain.encode_batch_fast([text.as_py()], add_special_tokens=False)]
         ids = np.concatenate(got or [np.zeros(0, np.uint32)])
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) != len(plain):
             raise ValueError("the tokenizer does not mark the ends of words")
-        others = words.filter(pa.array(~letters)).to_pylist()
-        rest = [e.ids for i in range(0, len(others), _AT_ONCE) for e in self.full.encode_batch_fast(others[i:i + _AT_ONCE], add_special_tokens=False)]
-        other = np.fromiter((x for r in rest for x in r), np.uint32)
+        others = words.filter(pa.array(~letters))
+        rest, lengths = [np.zeros(0, np.uint32)], []
+        for i in range(0, len(others), _AT_ONCE):
+            part = [e.ids for e in self.full.encode_batch_fast(others.slice(i, _AT_ONCE).to_pylist(), add_special_tokens=False)]
+            rest.append(np.fromiter((x for r in part for x in r), np.uint32))
+            lengths += map(len, part)
+        other = np.concatenate(rest)
         size = np.zeros(len(words), np.int64)
         size[letters] = np.diff(np.concatenate([[0], cuts]))
-        size[~letters] = [len(r) for r in rest]
+        size[~letters] = lengths
         start = np.zeros(len(words), np.int64)
         start[letters] = np.concatenate([[0], cuts])[:-1]
         start[~letters] = len(ids) + np.cumsum(size[~letters]) - size[~letters]
@@ -288,6 +303,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
 
         def shard() -> pa.RecordBatch:
             data = shard_bytes(*(np.concatenate(x) for x in zip(*held)), part, number, encoder.width)
+            held.clear()
             return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["shard"])
         for batch in batches:
             for piece in runs(batch, "text", WORDS_FROM):
@@ -297,10 +313,11 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
                 size += len(ids) * encoder.width
                 if size >= limit:
                     yield shard()
-                    held, size, number = [], 0, number + 1
+                    size, number = 0, number + 1
+                give_back()
         if held:
             yield shard()
-        del encoder, held  # vocabularies and all that a task's words took
+        del encoder  # all that a task's words took
         give_back()
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     sorted_docs = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
