@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from trackspark.llm.common import same, stored
 from trackspark.llm.decontaminate import decontaminate
 from trackspark.llm.mixing import mix_sources
-from trackspark.llm.ngram_join import Overlap, ngram_join
+from trackspark.llm.ngram_join import BROADCAST_ROWS, Overlap, ngram_join
 from trackspark.llm.queries import table, tokenizer_path, toxicity_model
 from trackspark.llm.tokens import read_shards, write_shards
 from trackspark.llm.toxicity import toxicity
@@ -32,10 +32,14 @@ REJECT_FROM = 0.3
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is not in ``gone``; the list is as long as what goes."""
+    """Rows of ``docs`` whose doc_id is not in ``gone``; the list is as long as what goes.
+
+    A list of up to ``BROADCAST_ROWS`` ids goes to the texts, else texts go to the list.
+    """
     name = _free(docs, "gone")
-    listed = gone.select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(listed, docs["doc_id"] == listed[name], "left_anti")
+    listed = stored(gone.select(F.col("doc_id").alias(name)).distinct(), "gone")
+    few = listed.count() <= BROADCAST_ROWS
+    return docs.join(F.broadcast(listed) if few else listed, docs["doc_id"] == listed[name], "left_anti")
 
 
 def _free(docs: DataFrame, name: str) -> str:

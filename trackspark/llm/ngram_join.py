@@ -8,7 +8,7 @@ left out where a document has more than d others, as one of those must be equal
 where parts are small, shingles of passages that many documents share are found first and left out of the keys in the same way.
 Sizes are put into classes, and a document is keyed for its own class and for that of the least size it may be linked with.
 
-Documents that share a key are candidates, and connected candidates are put into blocks of bounded size in order of size.
+Documents that share a key are candidates (keys are shuffled once and not written down), and connected candidates are put into blocks of bounded size in order of size.
 Two blocks whose sizes can be linked at all are multiplied: shingles of many documents by dense blocks of columns, the others pair by
 pair, and overlaps below the bound that sizes give are dropped. A product gives back at most one row per document, a
 forest over its links; those make the components. Keys only propose: counts are of the shingles' 64-bit hashes.
@@ -48,8 +48,8 @@ KEYS_FROM = 1 << 18
 BUCKET_KEYS = 1 << 19
 PACK_KEYS = 128
 MOST_PARTITIONS = 20_000
-#: broadcast candidate ids up to so many, join by shuffle above
-BROADCAST_ROWS = 2_000_000
+#: rows of block pairs that are broadcast at a time
+BROADCAST_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -146,6 +146,21 @@ def _repeats(n: int):
     return run
 
 
+def _sized(n: int):
+    """Size and two 64-bit sums of each text's set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in runs(batch, "text"):
+                sets = shingle_sets(part.column("text"), n)
+                one, other = np.zeros(len(sets), np.uint64), np.zeros(len(sets), np.uint64)
+                for i, s in enumerate(sets):
+                    one[i], other[i] = mix(s).sum(), mix(s ^ np.uint64(0x5555555555555555)).sum()
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(np.asarray([len(s) for s in sets], np.int64)), pa.array(one.view(np.int64)),
+                     pa.array(other.view(np.int64))], ["doc_id", "n", "one", "other"])
+    return run
+
+
 def _keyed(n: int, rule: Overlap, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,6 +192,17 @@ def _ends(keys: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[keep], ones[keep]
 
 
+def _forest(keys: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sets that share a key with another, each with the least set it is connected with so."""
+    order = np.lexsort((ones, keys))
+    keys, ones = keys[order], ones[order]
+    several = np.flatnonzero(keys[1:] == keys[:-1])
+    several = several[ones[several] != ones[several + 1]]
+    nodes, roots = join_sets(ones[several], ones[several + 1]) if len(several) else (ones[:0], ones[:0])
+    far = nodes != roots
+    return nodes[far], roots[far]
+
+
 def _key_slices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Keys of a batch with the sets that have them, at most ``KEYS_FROM`` at a time."""
     lists, ones = batch.column("keys"), batch.column("one").to_numpy()
@@ -186,20 +212,32 @@ def _key_slices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]
         yield keys[a:b], ones[np.searchsorted(offsets, np.arange(a, b), "right") - 1]
 
 
-def _packed_keys(buckets: int):
-    """Keys with their sets, those of a bucket together in rows of bounded size."""
+def _packed_keys(buckets: int, linked: bool = False):
+    """Keys with their sets, those of a bucket together in rows of bounded size.
+
+    Of the sets that are looked at together the least and the greatest with a key are sent on. With ``linked``, what
+    connects all of them follows as rows of set and set, whose bucket is ``buckets`` or above.
+    """
+    def packs(bucket: np.ndarray, pairs: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(bucket, kind="stable")
+        bucket, pairs = bucket[order], pairs[order]
+        begin = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        size = np.diff(np.append(begin, len(bucket)))
+        cuts = np.concatenate([np.arange(a, a + n, PACK_KEYS) for a, n in zip(begin.tolist(), size.tolist())])
+        ends = np.append(cuts[1:], len(bucket))
+        return pa.RecordBatch.from_arrays([pa.array(bucket[cuts]), pa.array([pairs[a:b].tobytes() for a, b in zip(cuts.tolist(), ends.tolist())],
+                                                                            pa.binary())], ["bucket", "pairs"])
+
+    def spread(of: np.ndarray) -> np.ndarray:
+        return ((of.view(np.uint64) >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, owner in (part for batch in batches for part in _key_slices(batch)):
+            nodes, roots = _forest(keys, owner) if linked else (keys[:0], keys[:0])
             keys, owner = _ends(keys, owner)
-            bucket = ((keys.view(np.uint64) >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            bucket, pairs = bucket[order], np.stack([keys[order], owner[order]], 1)
-            begin = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-            size = np.diff(np.append(begin, len(bucket)))
-            cuts = np.concatenate([np.arange(a, a + n, PACK_KEYS) for a, n in zip(begin.tolist(), size.tolist())])
-            ends = np.append(cuts[1:], len(bucket))
-            yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts]), pa.array([pairs[a:b].tobytes() for a, b in zip(cuts.tolist(), ends.tolist())],
-                                                                                pa.binary())], ["bucket", "pairs"])
+            yield packs(spread(keys), np.stack([keys, owner], 1))
+            if len(nodes):
+                yield packs(buckets + spread(nodes), np.stack([nodes, roots], 1))
         give_back()
     return run
 
@@ -236,20 +274,62 @@ def _shared_keys(keyed: DataFrame) -> DataFrame:
     return packs.repartition(min(buckets, MOST_PARTITIONS), "bucket").sortWithinPartitions("bucket").mapInArrow(_merged_keys, "key long, first long")
 
 
-def _candidate_edges(keyed: DataFrame) -> DataFrame:
-    """(a, b): a document's set and the first set that shares one of its keys, both by 64 bits."""
-    shared = stored(_shared_keys(keyed), "shared")
-    spark = keyed.sparkSession
-    bitmap = spark.sparkContext.broadcast(key_bitmap(shared))  # 16 MB at any size of the corpus
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Small batches of keys together, as many as make ``KEYS_FROM`` keys: the fewer slices, the fuller the rows of a bucket."""
+    some, held = [], 0
+    for batch in batches:
+        some.append(batch.select(["one", "keys"]))
+        held += len(some[-1].column("keys").flatten())
+        if held >= KEYS_FROM:
+            yield from pa.Table.from_batches(some).combine_chunks().to_batches()
+            some, held = [], 0
+    if some:
+        yield from pa.Table.from_batches(some).combine_chunks().to_batches()
+
+
+def _merged_links(buckets: int):
+    """Rows of ``_packed_keys``, sorted by bucket, to edges that connect the sets which share a key: a forest per bucket."""
+    def edges(nodes: np.ndarray, roots: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(roots, pa.int64())], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = bitmap.value
-        for keys, owner in (part for batch in batches for part in _key_slices(batch)):
-            hit = may_hold(bits, keys)
-            yield pa.RecordBatch.from_arrays([pa.array(keys[hit]), pa.array(owner[hit])], ["key", "one"])
+        now, held, count, most = None, [], 0, 2 * BUCKET_KEYS
+        for batch in batches:
+            for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("pairs").to_pylist()):
+                pairs = np.frombuffer(data, np.int64).reshape(-1, 2)
+                if bucket >= buckets:
+                    yield edges(*pairs.T)
+                    continue
+                if held and (bucket != now or count > most):
+                    yield edges(*_forest(*np.concatenate(held).T))
+                    # a key that very many texts hold stays two entries
+                    held = [np.stack(_ends(*np.concatenate(held).T), 1)] if bucket == now else []
+                    count = sum(map(len, held))
+                    most = 2 * max(BUCKET_KEYS, count)
+                now = bucket
+                held.append(pairs)
+                count += len(pairs)
+            give_back()
+        if held:
+            yield edges(*_forest(*np.concatenate(held).T))
+        held = []
         give_back()
-    maybe = keyed.select("one", "keys").mapInArrow(run, "key long, one long")
-    return maybe.join(shared, "key").where("one <> first").select(F.col("one").alias("a"), F.col("first").alias("b"))
+    return run
+
+
+def _candidate_edges(base: DataFrame, n: int, rule: Overlap, common, shingles: int) -> DataFrame:
+    """(a, b): sets connected through keys they share, both by 64 bits. Keys are made, sent to their bucket and gone."""
+    # keys of two classes, each of a quarter more parts than shingles may differ
+    total = shingles * 5 * (rule.den - rule.num) // (2 * rule.num)
+    buckets = total // BUCKET_KEYS + 1
+    keyed, pack = _keyed(n, rule, common), _packed_keys(buckets, linked=True)
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from pack(_joined(keyed(batches)))
+
+    packs = base.where("doc_id is not null").mapInArrow(packed, "bucket long, pairs binary")
+    return (packs.repartition(min(buckets, MOST_PARTITIONS), "bucket").sortWithinPartitions("bucket")
+            .mapInArrow(_merged_links(buckets), "a long, b long"))
 
 
 def overlaps(sets: list[np.ndarray], columns: int = 2048, dense_from: int = 17) -> np.ndarray:
@@ -337,19 +417,16 @@ def ngram_join(docs: DataFrame, n: int = 3, rule: Overlap = Overlap()) -> DataFr
     if rule.thin < 3:
         often = base.select("text").mapInArrow(_repeats(n), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
         common = spark.sparkContext.broadcast(key_bitmap(often.where(F.col("n") >= COMMON).select("shingle")))
-    keyed = stored(base.mapInArrow(_keyed(n, rule, common), "doc_id long, n long, one long, other long, keys array<long>"), "keyed")
+    keyed = stored(base.mapInArrow(_sized(n), "doc_id long, n long, one long, other long"), "keyed")
     able = keyed.where("n > 0 and doc_id is not null")
     sets = stored(able.groupBy("n", "one", "other").agg(F.min("doc_id").alias("first")), "sets")
-    groups = components(_candidate_edges(able))
+    groups = components(_candidate_edges(base, n, rule, common, keyed.agg(F.sum("n")).first()[0] or 0))
     # a set alone with its keys is in no edge; the smallest of each group is its own label
     labels = groups.select("node", "component").unionByName(groups.select(F.col("component").alias("node"), "component").distinct())
     # a set is a node of its own, as documents that repeat an id have several
     members = stored(sets.join(labels, sets["one"] == labels["node"]).select(
         F.col("component").alias("group"), F.col("first").alias("doc_id"), "n", "node"), "members")
     pairs = stored(_block_pairs(members.select("group", "node", "n"), rule), "pairs")
-    few = members.count() <= BROADCAST_ROWS
-    chosen = members.select("doc_id", "node")
-    texts = base.join(F.broadcast(chosen) if few else chosen, "doc_id")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -361,13 +438,23 @@ def ngram_join(docs: DataFrame, n: int = 3, rule: Overlap = Overlap()) -> DataFr
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, ok in zip(nodes, meant) if ok], pa.int64()),
                                                   pa.array([s.tobytes() for s, ok in zip(sets, meant) if ok], pa.binary())],
                                                  ["node", "shingles"])
-    shingles = stored(texts.select("node", "text").mapInArrow(shingled, "node long, shingles binary"), "shingles")
-    met = (pairs.join(shingles, "node").repartition("group", "left", "right").sortWithinPartitions("group", "left", "right", "node")
-           .select("group", "left", "right", "node", "shingles"))
+
+    links = None
+    passes = -(-pairs.count() // BROADCAST_ROWS) or 1
+    for i in range(passes):
+        # whole block pairs a pass, of which both sides of the joins get no more than can be broadcast: shingles are shuffled once
+        some = pairs.where(F.pmod(F.xxhash64("group", "left", "right"), F.lit(passes)) == i) if passes > 1 else pairs
+        chosen = members.select("doc_id", "node")
+        chosen = chosen.join(some.select("node").distinct(), "node") if passes > 1 else chosen
+        shingles = base.join(F.broadcast(chosen), "doc_id").select("node", "text").mapInArrow(shingled, "node long, shingles binary")
+        met = (shingles.join(F.broadcast(some), "node").repartition("group", "left", "right")
+               .sortWithinPartitions("group", "left", "right", "node").select("group", "left", "right", "node", "shingles"))
+        found = stored(met.mapInArrow(_products(rule), "a long, b long"), "links")
+        links = links.unionByName(found) if links else found
     # the sets of one id are linked through it
     ids = able.groupBy("doc_id").agg(F.min("one").alias("b"), F.max("one").alias("top")).where("top > b").select("doc_id", "b")
     again = able.join(ids, "doc_id").where("one > b").select(F.col("one").alias("a"), "b").distinct()
-    found = components(met.mapInArrow(_products(rule), "a long, b long").unionByName(again))
+    found = components(links.unionByName(again))
     placed = stored(sets.join(found, sets["one"] == found["node"], "left")
                     .select("one", "first", F.coalesce("component", "one").alias("home")), "homes")
     least = placed.groupBy("home").agg(F.min("first").alias("component_id"))
